@@ -5,20 +5,68 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from facetlake.llm import tokens
+from facetlake.llm import decontaminate, minhash, mixing, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, threshold=(85, 100))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op4_token_counts": op4_token_counts,
+    "op5_mixing": op5_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_minhash_dedup": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) s from words),
+sizes as (select doc_id, count(*) n from shingles group by doc_id),
+pairs as (select a.doc_id u, b.doc_id v, count(*) c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (select u, v from pairs join sizes x on x.doc_id = u join sizes y on y.doc_id = v where 100 * c >= 85 * (x.n + y.n - c)),
+ways as (select u, v from links union all select v, u from links),
+reach(a, b) as (select doc_id, doc_id from documents union select reach.a, ways.v from reach join ways on reach.b = ways.u)
+select doc_id, coalesce(n, 0)::bigint n_shingles, c component_id, doc_id = c kept
+from documents left join sizes using (doc_id) join (select a, min(b) c from reach group by a) on a = doc_id""",
+    "op2_decontaminate": r"""
+with dw as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+iw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark),
+pats as (
+  select distinct item_id, least(len(w), 13) m, unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) p
+  from iw where len(w) > 0),
+lens as (select distinct m from pats),
+wins as (select doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') p from dw, lens, unnest(range(1, len(w) - m + 2)) t(i) where len(w) >= m),
+occ as (select doc_id, i, wins.m, item_id from wins join pats on wins.m = pats.m and wins.p = pats.p),
+hits as (select doc_id, count(distinct k) n from occ, unnest(range(i, i + m)) t(k) group by doc_id),
+ids as (select doc_id, count(*) n, string_agg(s, ',' order by s) l from (select distinct doc_id, item_id::varchar s from occ) group by doc_id)
+select doc_id, len(w)::bigint n_words, coalesce(hits.n, 0)::bigint n_hit, coalesce(ids.n, 0)::bigint n_items, sha256(coalesce(l, '')) items_sha256,
+  coalesce(hits.n, 0) > 0 and 20 * coalesce(hits.n, 0) >= len(w) contaminated
+from dw left join hits using (doc_id) left join ids using (doc_id)""",
+}
