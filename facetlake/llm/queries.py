@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetlake.llm import decontaminate, minhash, mixing, tokens
+from facetlake.llm import decontaminate, embeddings, html, lm, minhash, mixing, quality, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +32,54 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = quality.fold("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm.cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = quality.fold("doc_id", 4) == 2
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    scored = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
     "op5_mixing": op5_mixing,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_html_text": op8_html_text,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_embedding_dedup": """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: x::double) e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id u, b.vec_id v from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(a, b) as (select vec_id, vec_id from embeddings union select reach.a, links.v from reach join links on reach.b = links.u)
+select vec_id, coalesce(n, 0)::bigint n_links, c component_id, vec_id = c kept
+from embeddings left join (select u, count(*) n from links group by u) on u = vec_id join (select a, min(b) c from reach group by a) on a = vec_id""",
     "op1_minhash_dedup": r"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),

@@ -81,7 +81,7 @@ class Words:
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES):
         apart = separators[raw]
         n = len(raw)
-        self.raw, self.offsets = raw, offsets
+        self.raw, self.offsets, self._sums = raw, offsets, None
         if not n:
             self.starts = self.ends = np.zeros(0, np.int64)
         else:
@@ -103,10 +103,13 @@ class Words:
     def __len__(self) -> int:
         return len(self.starts)
 
-    def hashes(self, table: np.ndarray = BYTE) -> np.ndarray:
-        sums = prefix(self.raw, table)
+    def hashes(self, most: int = 0) -> np.ndarray:
+        """Hash of each word, or of its first bytes if `most` is given."""
+        if self._sums is None:
+            self._sums = prefix(self.raw)
         _, down = powers(len(self.raw) + 1)
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        ends = np.minimum(self.ends, self.starts + most) if most else self.ends
+        return mix((self._sums[ends] - self._sums[self.starts]) * down[self.starts])
 
     def rows(self) -> np.ndarray:
         """Row of each word."""
