@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetlake.llm import decontaminate, embeddings, html, lm, minhash, mixing, quality, tokens, toxicity
+from facetlake.llm import decontaminate, embeddings, html, lm, minhash, mixing, quality, suffix, tokens, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_lm_scoring": op7_lm_scoring,
     "op8_html_text": op8_html_text,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
