@@ -148,6 +148,21 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", s
     return text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double, predicted int")
 
 
+def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, threshold: float = 0.3) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores at least threshold; quality_scores() row by row."""
+    known = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, label, sample))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = string_buffer(batch.column(at))
+            for a, b in row_blocks(offsets, STEP):
+                s = known.value.scores(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                yield batch.slice(a, b - a).filter(pa.array(s >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def fold(column: str, folds: int):
     """Remainder of the CRC-32 of an id as text."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds

@@ -30,7 +30,7 @@ STEP, ROUND = 1 << 18, 32 << 20
 #: Bytes of contexts' records, and of their texts, that one task gets on average.
 RECORDS, TEXTS = 24 << 20, 2 << 20
 #: Bytes of contexts in a shard.
-SHARD = 1 << 19
+SHARD = 1 << 20
 _RECORD = np.dtype([("fp", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("more", "<u2")])
 
 
@@ -159,28 +159,28 @@ def merged(shards: list[Shard], symbols: np.ndarray, after: np.ndarray, rounds:
     common prefix.
     """
     total = sum(len(s.suffix) for s in shards)
-    count = int(symbols.max()) + 1
-    kind = np.uint16 if count <= 1 << 16 else np.uint32
+    symbols = symbols.astype(np.uint32)
+    befores = [s.before for s in shards]
     # Suffixes without a rest stand first of their symbol, in shard order, in every round.
     ends = np.concatenate([s.suffix[s.follows] for s in shards])
-    end_marks = np.repeat(np.arange(len(shards)), [len(s.follows) for s in shards])
+    end_marks = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(s.follows) for s in shards])
     marks = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(s.suffix) for s in shards])
-    block = np.zeros(total, np.int64)  # of each place, the first place of its block
+    block = np.zeros(total, np.int32)  # of each place, the first place of its block
     for k in range(rounds):
         rest = -1 if k else 0  # the block of no rest at all: no symbol of a rest is looked at in the first round
-        before = np.empty(total, np.int64)
-        for i, s in enumerate(shards):
-            before[marks == i] = s.before
+        before = np.empty(total, np.int32)
+        for i, x in enumerate(befores):
+            before[marks == i] = x
         has = np.flatnonzero(before >= 0)
-        dealt = np.concatenate([symbols[ends], symbols[before[has]]]).astype(kind)
-        order = np.argsort(dealt, kind="stable")
-        moved = np.concatenate([end_marks, marks[has]])[order].astype(np.uint16)
-        came = np.concatenate([np.full(len(ends), rest), block[has]])[order]
+        dealt = np.concatenate([symbols[ends], symbols[before[has]]])
+        order = stable_order(dealt)
+        moved = np.concatenate([end_marks, marks[has]])[order]
+        came = np.concatenate([np.full(len(ends), rest, np.int32), block[has]])[order]
         sorted_ = dealt[order]
         new = np.ones(total, bool)
         new[1:] = (sorted_[1:] != sorted_[:-1]) | (came[1:] != came[:-1])
         first = np.flatnonzero(new)
-        old, marks, block = marks, moved, np.repeat(first, np.diff(np.append(first, total)))
+        old, marks, block = marks, moved, np.repeat(first.astype(np.int32), np.diff(np.append(first, total)))
         if len(first) == total and (old == marks).all():
             break
     out = np.empty(total, np.int64)
@@ -189,9 +189,26 @@ def merged(shards: list[Shard], symbols: np.ndarray, after: np.ndarray, rounds:
     return out, np.flatnonzero(np.append(True, block[1:] != block[:-1]))
 
 
+def ranks(values: np.ndarray) -> np.ndarray:
+    """Rank of each value among the distinct ones."""
+    order = np.argsort(values)
+    ordered = values[order]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])) if len(values) else 0
+    return out
+
+
+def stable_order(values: np.ndarray) -> np.ndarray:
+    """Stable order of unsigned 32-bit values, by 16 bits at a time."""
+    order = np.argsort((values & np.uint32(0xFFFF)).astype(np.uint16), kind="stable")
+    if len(values) and int(values.max()) >> 16:
+        order = order[np.argsort((values >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
 def repeated(texts: list[bytes], length: int, shard: int = SHARD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, start and class of every string of `length` bytes in the texts, by merged transforms."""
-    width = max(w for w in (4, 3, 2, 1) if length % w == 0)
+    width = max(w for w in (10, 8, 5, 4, 3, 2, 1) if length % w == 0)
     raw = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -199,11 +216,16 @@ def repeated(texts: list[bytes], length: int, shard: int = SHARD) -> tuple[np.nd
     place = np.arange(len(raw)) - offsets[text]
     left = sizes[text] - place
     # A symbol is `width` bytes; one cut short by the end of its text is lower than all that continue it.
+    half = width // 2 if width > 5 else width
     padded = np.concatenate([raw, np.zeros(width, np.uint8)]).astype(np.uint64)
     value = np.zeros(len(raw), np.uint64)
-    for k in range(width):
+    for k in range(half):
         value = value * np.uint64(257) + np.where(left > k, padded[k : k + len(raw)] + np.uint64(1), np.uint64(0))
-    _, symbols = np.unique(value, return_inverse=True)
+    symbols = ranks(value)
+    if half < width:
+        second = np.zeros(len(raw), np.int64)
+        second[: len(raw) - half] = np.where(left[: len(raw) - half] > half, symbols[half:] + 1, 0)
+        symbols = ranks(symbols * np.int64(len(raw) + 2) + second)
     index = np.arange(len(raw))
     after = np.where(left > width, index + width, -1)
     previous = np.where(place >= width, index - width, -1)
