@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import components
-from facetlake.llm.shared import row_blocks, string_buffer, text_columns, written
+from facetlake.llm.shared import partitions, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms, row_windows
 
 #: Symbols in a chunk, with at most one error; bits of a symbol.
@@ -33,6 +33,8 @@ CHUNK, BITS = 5, 16
 MISS = 5e-4
 #: Bytes of text in a step, and members of a key that one task compares with each other.
 SIGN_STEP, BLOCK = 1 << 18, 4096
+#: Members of keys that one task takes, on average, and pairs that it compares at a time.
+ROWS, PAIRS = 200_000, 1 << 18
 _LOW = np.uint64((1 << BITS) - 1)
 
 
@@ -158,26 +160,39 @@ def apart(members: DataFrame, links: DataFrame, signed: DataFrame, most: int) ->
     """
     comp = components(links)
     at = members.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("comp"))
-    open_ = at.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("s"))
-    at = at.join(open_, "key").join(signed.select("id", "sig"), "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
+    open_ = at.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("s"))
+    open_ = written(open_, "open")
+    at = at.join(open_.drop("n"), "key").join(signed.select("id", "sig"), "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
     at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
     at = at.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "comp", "sig")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id", kind="stable").reset_index(drop=True)
-        ids, comp = rows["id"].to_numpy(), rows["comp"].to_numpy()
-        x, y = rows["x"].iloc[0], rows["y"].iloc[0]
-        own = rows["own"].to_numpy()
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(ids), -1)
-        out = []
-        for i in range(len(ids) - 1):
-            j = np.flatnonzero((comp[i + 1 :] != comp[i]) & ((own[i + 1 :] != own[i]) | (x == y))) + i + 1
-            j = j[(sig[j] != sig[i]).sum(axis=1) <= most]
-            out.append(np.stack([np.full(len(j), ids[i]), ids[j]], axis=1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        key, x, y, ids = (rows[c].to_numpy() for c in ("key", "x", "y", "id"))
+        order = np.lexsort((ids, y, x, key))
+        key, x, y, ids = key[order], x[order], y[order], ids[order]
+        comp, own = rows["comp"].to_numpy()[order], rows["own"].to_numpy()[order]
+        sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(ids), -1)[order]
+        last = np.append((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]), True)
+        ends = np.flatnonzero(last)
+        n = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))  # members behind each in its block
+        until = np.cumsum(n)
+        out, a = [], 0
+        while a < len(ids):
+            b = max(a + 1, int(np.searchsorted(until, (until[a - 1] if a else 0) + PAIRS, "right")))
+            i = np.repeat(np.arange(a, b), n[a:b])
+            j = i + 1 + np.arange(len(i)) - np.repeat(until[a:b] - n[a:b] - (until[a - 1] if a else 0), n[a:b])
+            far = (comp[i] != comp[j]) & ((own[i] != own[j]) | (x[i] == y[i]))
+            i, j = i[far], j[far]
+            close = (sig[i] != sig[j]).sum(axis=1) <= most
+            out.append(np.unique(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=0))
+            a = b
+        found = np.unique(np.concatenate(out), axis=0)
         return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
 
-    return at.groupBy("key", "x", "y").applyInPandas(compare, "u long, v long").distinct()
+    # A task takes many keys at once; one key alone never has more than 2 * BLOCK rows in it.
+    rows = open_.agg(F.coalesce(F.sum(F.col("n") * F.col("s")), F.lit(0))).first()[0]
+    tasks = max(partitions(members), -(-rows // ROWS))
+    return at.groupBy(F.pmod(F.xxhash64("key", "x", "y"), F.lit(tasks)).alias("task")).applyInPandas(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
