@@ -35,7 +35,7 @@ def key_parse(spark, sf_dir) -> DataFrame:
     own = levels(spark, sf_dir)
     t = keys.text(F.col("face"), F.col("level"), F.col("x"), F.col("y"))
     k = F.col("o_orderkey") % 7
-    bad = F.when(k == 1, F.lower(t)).when(k == 2, F.concat(t, F.lit("/0000"))).when(k == 3, F.regexp_replace(t, "L0", "L")).when(k == 4, F.regexp_replace(t, "/000", "/00000")).otherwise(t)
+    bad = F.when(k == 1, F.lower(t)).when(k == 2, F.concat(t, F.lit("/0000"))).when(k == 3, F.regexp_replace(t, "L0", "L")).when(k == 4, F.regexp_replace(t, "/00", "/0000")).otherwise(t)
     p = own.select("o_orderkey", keys.parse(bad).alias("p"))
     return p.select("o_orderkey", "p.face", "p.level", "p.x", "p.y", F.col("p").isNotNull().alias("ok"))
 

@@ -107,8 +107,8 @@ def dataset_anti(spark, sf_dir) -> DataFrame:
 
 
 @query("""with meta as (select string_agg('{"id":' || n_nationkey || '}', '' order by n_nationkey) m from nation),
-at as (select n_nationkey, length('{"id":' || n_nationkey || '}') b, coalesce(sum(length('{"id":' || n_nationkey || '}')) over (order by n_nationkey rows between unbounded preceding and 1 preceding), 0)::bigint o from nation)
-select n_nationkey::bigint n_nationkey, o as offset_, substring(m, o + 1, b) doc from at, meta""")
+laid as (select n_nationkey, length('{"id":' || n_nationkey || '}') b, coalesce(sum(length('{"id":' || n_nationkey || '}')) over (order by n_nationkey rows between unbounded preceding and 1 preceding), 0)::bigint o from nation)
+select n_nationkey::bigint n_nationkey, o as offset_, substring(m, o + 1, b) doc from laid, meta""")
 def meta_slice(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation", "n_nationkey").select(F.col("n_nationkey").cast("long").alias("n_nationkey")).withColumn("doc", F.concat(F.lit('{"id":'), F.col("n_nationkey").cast("string"), F.lit("}")))
     laid = registry.offsets(n, "n_nationkey", F.octet_length("doc"))
