@@ -8,8 +8,9 @@ meet under a key are candidates; candidates within the distance are confirmed on
 their full shingle sets.
 
 Members of a key are not paired with each other. Each is tried against the least of
-them; what those links leave apart is compared in blocks of bounded size, of which
-only pairs within the distance come out.
+them. What those links leave apart, but near, is gathered to families by forests of
+near members, and a family's full sets meet in blocks of bounded size, out of which
+only links between components come.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ MISS = 5e-4
 SIGN_STEP, BLOCK = 1 << 18, 4096
 #: Members of keys that one task takes, on average, and pairs that it compares at a time.
 ROWS, PAIRS = 200_000, 1 << 18
+#: Members of a family in a block whose full sets one task holds.
+FAMILY = 2048
 _LOW = np.uint64((1 << BITS) - 1)
 
 
@@ -125,8 +128,8 @@ def near(pairs: DataFrame, signed: DataFrame, most: int) -> DataFrame:
     return pairs.distinct().join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(within, "u long, v long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets are as similar as threshold, a fraction."""
+def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, shingles): the packed shingle hashes, ascending, of the documents named in ids (id)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,6 +139,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: tuple[int
                 ends = np.cumsum(counts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([values[e - n : e].tobytes() for e, n in zip(ends, counts, strict=True)], pa.binary())], ["id", "shingles"])
 
+    return written(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").mapInArrow(sets, "id long, shingles binary"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets are as similar as threshold, a fraction."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         up, down = threshold
         for batch in batches:
@@ -146,53 +155,124 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: tuple[int
                 keep.append(down * both >= up * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    full = written(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi").mapInArrow(sets, "id long, shingles binary"), "sets")
-    a, b = (full.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "uv")
+    a, b = (sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "uv")
     return pairs.join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(check, "u long, v long")
 
 
-def apart(members: DataFrame, links: DataFrame, signed: DataFrame, most: int) -> DataFrame:
-    """Pairs (u, v) that share a key and are near, but that the links so far leave in different components.
-
-    Members of a key are split into blocks of bounded size by hash, and each two blocks are compared in
-    a task of their own; keys whose members all are in one component are left out before.
+def blocked(rows: DataFrame, by: str, size: int) -> DataFrame:
+    """rows (`by`, n, id, ...) with the blocks x <= y to meet in: members of a group of n are dealt to blocks of about
+    `size` by hash (own), and each row is sent to every pair of blocks that holds its own."""
+    out = rows.withColumn("s", F.ceil(F.col("n") / size).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
+    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+    return out.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("s", "other", "n")
+
+
+def close_pairs(ids, group, x, y, own, comp, sig, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places i < j of rows, ordered by (group, x, y), that meet in a block, differ in comp, and are near; in steps."""
+    last = np.append((group[1:] != group[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]), True)
+    ends = np.flatnonzero(last)
+    n = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))  # members behind each in its block
+    until, a = np.cumsum(n), 0
+    while a < len(ids):
+        done = until[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(until, done + PAIRS, "right")))
+        i = np.repeat(np.arange(a, b), n[a:b])
+        j = i + 1 + np.arange(len(i)) - np.repeat(until[a:b] - n[a:b] - done, n[a:b])
+        meet = (comp[i] != comp[j]) & ((own[i] != own[j]) | (x[i] == y[i]))
+        i, j = i[meet], j[meet]
+        near_ = (sig[i] != sig[j]).sum(axis=1) <= most
+        yield i[near_], j[near_]
+        a = b
+
+
+class Forest:
+    """Union of numbers, each tree named by its least."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, i: int) -> int:
+        up = self.up
+        while i in up:
+            if up[i] in up:
+                up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.root(i), self.root(j)
+        if i != j:
+            self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def families(members: DataFrame, links: DataFrame, signed: DataFrame, most: int) -> DataFrame:
+    """Forest edges (u, v) over documents that share a key and are near, but in different components so far.
+
+    Each block of a key gives at most as many edges as it has members, whatever the number of near pairs.
     """
     comp = components(links)
     at = members.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("comp"))
-    open_ = at.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("s"))
-    open_ = written(open_, "open")
-    at = at.join(open_.drop("n"), "key").join(signed.select("id", "sig"), "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
-    at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    at = at.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "id", "comp", "sig")
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        key, x, y, ids = (rows[c].to_numpy() for c in ("key", "x", "y", "id"))
-        order = np.lexsort((ids, y, x, key))
-        key, x, y, ids = key[order], x[order], y[order], ids[order]
-        comp, own = rows["comp"].to_numpy()[order], rows["own"].to_numpy()[order]
+    open_ = written(at.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "n"), "open")
+    at = blocked(at.join(open_, "key"), "key", BLOCK).join(signed.select("id", "sig"), "id")
+
+    def connect(rows: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort(tuple(rows[c].to_numpy() for c in ("id", "y", "x", "key")))
+        key, x, y, ids, comp, own = (rows[c].to_numpy()[order] for c in ("key", "x", "y", "id", "comp", "own"))
         sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(ids), -1)[order]
-        last = np.append((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]), True)
-        ends = np.flatnonzero(last)
-        n = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))  # members behind each in its block
-        until = np.cumsum(n)
-        out, a = [], 0
-        while a < len(ids):
-            b = max(a + 1, int(np.searchsorted(until, (until[a - 1] if a else 0) + PAIRS, "right")))
-            i = np.repeat(np.arange(a, b), n[a:b])
-            j = i + 1 + np.arange(len(i)) - np.repeat(until[a:b] - n[a:b] - (until[a - 1] if a else 0), n[a:b])
-            far = (comp[i] != comp[j]) & ((own[i] != own[j]) | (x[i] == y[i]))
-            i, j = i[far], j[far]
-            close = (sig[i] != sig[j]).sum(axis=1) <= most
-            out.append(np.unique(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=0))
-            a = b
-        found = np.unique(np.concatenate(out), axis=0)
-        return pd.DataFrame({"u": found[:, 0], "v": found[:, 1]})
-
-    # A task takes many keys at once; one key alone never has more than 2 * BLOCK rows in it.
-    rows = open_.agg(F.coalesce(F.sum(F.col("n") * F.col("s")), F.lit(0))).first()[0]
+        forest, out = Forest(), []
+        for i, j in close_pairs(ids, key, x, y, own, comp, sig, most):
+            pairs = np.unique(np.stack([ids[i], ids[j]], axis=1), axis=0)
+            out += [p for p in pairs.tolist() if forest.join(*p)]
+        return pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
+
+    # A task takes many keys at once; one pair of blocks never has more than about 2 * BLOCK rows.
+    rows = open_.agg(F.coalesce(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK)), F.lit(0))).first()[0]
     tasks = max(partitions(members), -(-rows // ROWS))
-    return at.groupBy(F.pmod(F.xxhash64("key", "x", "y"), F.lit(tasks)).alias("task")).applyInPandas(compare, "u long, v long").distinct()
+    return at.groupBy(F.pmod(F.xxhash64("key", "x", "y"), F.lit(tasks)).alias("task")).applyInPandas(connect, "u long, v long")
+
+
+def family_links(family: DataFrame, links: DataFrame, signed: DataFrame, sets: DataFrame, most: int, threshold: tuple[int, int]) -> DataFrame:
+    """Links (u, v) that connect what is apart in a family (id, family): near members are compared on their full sets.
+
+    The full sets of a pair of blocks meet in one task, are compared there as bits, and only links that join two
+    components come out.
+    """
+    comp = components(links)
+    at = family.join(comp, "id", "left").select("family", "id", F.coalesce("component_id", "id").alias("comp"))
+    size = at.groupBy("family").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("family", "n")
+    at = written(at.join(size, "family"), "family")
+    rows = at.agg(F.coalesce(F.sum(F.ceil(F.col("n") / FAMILY)), F.lit(0))).first()[0]
+    tasks = max(partitions(family), -(-rows // FAMILY))
+    at = blocked(at, "family", FAMILY).join(signed.select("id", "sig"), "id").join(sets, "id")
+    up, down = threshold
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort(tuple(rows[c].to_numpy() for c in ("id", "y", "x", "family")))
+        group, x, y, ids, comp, own = (rows[c].to_numpy()[order] for c in ("family", "x", "y", "id", "comp", "own"))
+        sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(ids), -1)[order]
+        packed = rows["shingles"].to_numpy()[order]
+        full = [np.frombuffer(s, np.uint64) for s in packed]
+        n = np.array([len(s) for s in full])
+        forest, out = Forest(), []
+        for i, j in close_pairs(ids, group, x, y, own, comp, sig, most):
+            fits = (down * np.minimum(n[i], n[j]) >= up * np.maximum(n[i], n[j]))
+            i, j = i[fits], j[fits]
+            cuts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, np.int64)
+            for a, partners in zip(i[cuts].tolist(), np.split(j, cuts[1:]), strict=False):
+                # Links found in this very task spare the pairs that they decide.
+                b = [k for k in partners.tolist() if forest.root(int(comp[a])) != forest.root(int(comp[k]))]
+                if not b:
+                    continue
+                rest = np.concatenate([full[k] for k in b])
+                at_ = np.minimum(np.searchsorted(full[a], rest), n[a] - 1)
+                both = np.add.reduceat((full[a][at_] == rest).astype(np.int64), np.cumsum([0, *n[b][:-1]]))
+                for k, c in zip(b, both.tolist(), strict=True):
+                    if down * c >= up * (n[a] + n[k] - c) and forest.join(int(comp[a]), int(comp[k])):
+                        out.append((int(ids[a]), int(ids[k])))
+        return pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
+
+    return at.groupBy(F.pmod(F.xxhash64("family", "x", "y"), F.lit(tasks)).alias("task")).applyInPandas(link, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -220,10 +300,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     members = written(keys.join(met.select("key", "least"), "key"), "members")
     tried = written(near(members.filter("id <> least").select(F.col("least").alias("u"), F.col("id").alias("v")), signed, 2 * m - 1), "tried")
     texts = own.dropDuplicates(["doc_id"]) if full.groupBy("doc_id").count().filter("count > 1").limit(1).count() else own
-    links = written(confirmed(tried, texts, size, threshold), "links")
-    more = written(apart(members.select("key", "id"), links, signed, 2 * m - 1).join(tried, ["u", "v"], "left_anti"), "more")
-    if more.limit(1).count():
-        links = links.unionByName(confirmed(more, texts, size, threshold))
+    sets = full_sets(texts, tried.select(F.col("u").alias("id")).union(tried.select("v")).distinct(), size)
+    links = written(confirmed(tried, sets, threshold), "links")
+    forest = written(families(members.select("key", "id"), links, signed, 2 * m - 1), "families")
+    if forest.limit(1).count():
+        family = components(forest)
+        heads = family.select(F.col("component_id").alias("id"), F.col("component_id").alias("family")).distinct()
+        family = written(family.select("id", F.col("component_id").alias("family")).unionByName(heads), "members")
+        late = family.join(sets.select("id"), "id", "left_anti").select("id")
+        sets = sets.unionByName(full_sets(texts, late, size))
+        links = links.unionByName(written(family_links(family, links, signed, sets, 2 * m - 1, threshold), "more"))
     # Copies link with the least of their class, so that classes and links make the components.
     copies = full.join(classes.select("h1", "h2", "n_shingles", "id"), ["h1", "h2", "n_shingles"]).select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
     comp = components(links.unionByName(copies)).withColumnRenamed("id", "_id")
