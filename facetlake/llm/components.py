@@ -2,11 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.shared import dropped, written
 
+#: Edges, at most, that one task connects in its memory; more take rounds over all executors.
+SMALL = 50_000
+
+
+class Forest:
+    """Union of numbers, each tree named by its least."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, i: int) -> int:
+        up = self.up
+        while i in up:
+            if up[i] in up:
+                up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.root(i), self.root(j)
+        if i != j:
+            self.up[max(i, j)] = min(i, j)
+        return i != j
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Each vertex links its larger (or its smaller) neighbours to the least vertex that it knows of."""
@@ -24,6 +51,16 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
+def _connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forest, seen = Forest(), set()
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            forest.join(u, v)
+            seen |= {u, v}
+    rows = [(i, r) for i in sorted(seen) if (r := forest.root(i)) != i]
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["id", "component_id"])
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.shiftright(F.xxhash64("u", "v"), 20)), F.sum(F.shiftright(F.xxhash64("v", "u"), 20))).first())
 
@@ -32,11 +69,13 @@ def components(links: DataFrame) -> DataFrame:
     """Rows (id, component_id) for each vertex of the links (u, v) but those that are the least of their component.
 
     component_id is the least vertex that links reach. Links may repeat, run both ways or from a
-    vertex to itself; those with a null are ignored. Each round writes its edges, at most one for
+    vertex to itself; those with a null are ignored. Beyond SMALL edges, each round writes its edges, at most one for
     each link, to the shared folder; rounds grow with the logarithm of the largest component.
     """
     edges = written(links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).filter("u <> v").distinct(), "edges")
     mark = _mark(edges)
+    if mark[0] <= SMALL:
+        return written(edges.repartition(1).mapInArrow(_connect, "id long, component_id long"), "components")
     while mark[0]:
         after = written(_star(_star(edges, True), False), "edges")
         dropped(edges)

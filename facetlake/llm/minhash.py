@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetlake.llm.components import components
+from facetlake.llm.components import Forest, components
 from facetlake.llm.shared import partitions, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms, row_windows
 
@@ -185,27 +185,6 @@ def close_pairs(ids, group, x, y, own, comp, sig, most: int) -> Iterator[tuple[n
         a = b
 
 
-class Forest:
-    """Union of numbers, each tree named by its least."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while i in up:
-            if up[i] in up:
-                up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-        return i != j
-
-
 def families(members: DataFrame, links: DataFrame, signed: DataFrame, most: int) -> DataFrame:
     """Forest edges (u, v) over documents that share a key and are near, but in different components so far.
 
