@@ -409,10 +409,11 @@ def cut_texts(docs: DataFrame, length: int = 100) -> DataFrame:
                         at = last
                     data = b"".join([*parts, data[at:]])
                 texts.append(None if data is None else data.decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_id", "_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(texts, pa.string())], ["_id", "_was", "_text"])
 
-    gone = removals(docs, length).filter("size(spans) > 0").mapInArrow(cut, "_id long, _text string")
-    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_id"], "left")
-    text = F.when(F.col("_id").isNull(), docs["text"]).otherwise(F.col("_text"))
+    found = removals(docs, length).filter("size(spans) > 0").withColumn("was", F.xxhash64("text"))
+    gone = found.mapInArrow(cut, "_id long, _was long, _text string").dropDuplicates(["_id"])
+    out = docs.join(gone, (docs["doc_id"].cast("long") == gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_was"]), "left")
+    text = F.when(gone["_id"].isNull(), docs["text"]).otherwise(gone["_text"])
     cols = {"text": text, "n_chars": F.coalesce(F.length(text), F.lit(0)).cast("long")}
     return out.select(*[cols[c].alias(c) if c in cols else docs[c] for c in docs.columns])
