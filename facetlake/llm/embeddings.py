@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import components
-from facetlake.llm.shared import written
+from facetlake.llm.shared import dropped, written
 
 #: Leading principal axes of the grid; vectors in a block, and in a piece that is multiplied out.
 AXES, BLOCK, PIECE = 8, 4096, 256
@@ -234,6 +234,8 @@ def linked(vectors: DataFrame, dtype, cosine: float) -> tuple[DataFrame, DataFra
     b = cut.select(F.col("one").alias("j"), F.col("ids").alias("ib"), F.col("x").alias("xb"))
     met = pairs.join(a, "i").join(b, "j").select("i", "j", "ia", "xa", "ib", "xb").repartition(rows)
     found = written(met.mapInArrow(join, "u long, n long, v long"), "found")
+    for table in (packed, cut, pairs):
+        dropped(table)
     return found.groupBy("u").agg(F.sum("n").alias("n_links")), found.select("u", "v")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import Forest, components
-from facetlake.llm.shared import partitions, row_blocks, string_buffer, text_columns, written
+from facetlake.llm.shared import dropped, partitions, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms, row_windows
 
 #: Symbols in a chunk, with at most one error; bits of a symbol.
@@ -277,18 +277,24 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     keys = written(index_keys(signed, m), "keys")
     met = keys.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1")
     members = written(keys.join(met.select("key", "least"), "key"), "members")
+    dropped(keys)
     tried = written(near(members.filter("id <> least").select(F.col("least").alias("u"), F.col("id").alias("v")), signed, 2 * m - 1), "tried")
     texts = own.dropDuplicates(["doc_id"]) if full.groupBy("doc_id").count().filter("count > 1").limit(1).count() else own
     sets = full_sets(texts, tried.select(F.col("u").alias("id")).union(tried.select("v")).distinct(), size)
     links = written(confirmed(tried, sets, threshold), "links")
     forest = written(families(members.select("key", "id"), links, signed, 2 * m - 1), "families")
+    dropped(members)
+    held = [sets]
     if forest.limit(1).count():
         family = components(forest)
         heads = family.select(F.col("component_id").alias("id"), F.col("component_id").alias("family")).distinct()
         family = written(family.select("id", F.col("component_id").alias("family")).unionByName(heads), "members")
         late = family.join(sets.select("id"), "id", "left_anti").select("id")
-        sets = sets.unionByName(full_sets(texts, late, size))
-        links = links.unionByName(written(family_links(family, links, signed, sets, 2 * m - 1, threshold), "more"))
+        held.append(full_sets(texts, late, size))
+        more = family_links(family, links, signed, sets.unionByName(held[1]), 2 * m - 1, threshold)
+        links = links.unionByName(written(more, "more"))
+    for table in held:
+        dropped(table)
     # Copies link with the least of their class, so that classes and links make the components.
     copies = full.join(classes.select("h1", "h2", "n_shingles", "id"), ["h1", "h2", "n_shingles"]).select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
     comp = components(links.unionByName(copies)).withColumnRenamed("id", "_id")

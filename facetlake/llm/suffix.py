@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetlake.llm.shared import partitions, row_blocks, string_buffer, text_columns, written
+from facetlake.llm.shared import dropped, partitions, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import CASED, mix, powers, prefix
 
 #: Bytes of text in a vectorised step, and in one round of local combination.
@@ -294,11 +294,13 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
 
     found = written(docs.mapInArrow(scan, ROWS), "contexts")
     met = written(found.filter(F.col("kind") == MET).repartition(parts, "key").groupBy("key").applyInPandas(meet, ROWS), "met")
-    gone = found.filter(F.col("kind") == GONE).unionByName(met.filter(F.col("kind") == GONE)).select(F.col("key").alias("doc_id"), "data")
+    gone = written(found.filter(F.col("kind") == GONE).unionByName(met.filter(F.col("kind") == GONE)).select(F.col("key").alias("doc_id"), "data"), "gone")
+    dropped(found)
 
     wanted = met.filter(F.col("kind") == WANTED).groupBy("key").agg(F.collect_list("data").alias("wanted"))
     bytes_ = met.filter(F.col("kind") == WANTED).agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
     if not bytes_:
+        dropped(met)
         return gone
     groups = max(partitions(docs), -(-bytes_ // _RECORD.itemsize * (length + length // 4) // TEXTS))
 
@@ -328,6 +330,7 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
 
     texts = docs.join(wanted, docs["doc_id"] == wanted["key"]).select("doc_id", "text", "wanted").mapInArrow(fetch, "g long, data binary")
     more = written(texts.groupBy("g").applyInPandas(search, ROWS), "repeats")
+    dropped(met)
     return gone.unionByName(more.select(F.col("key").alias("doc_id"), "data"))
 
 
