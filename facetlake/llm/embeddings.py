@@ -18,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import components
-from facetlake.llm.shared import dropped, written
+from facetlake.llm.shared import dropped, partitions, written
 
 #: Leading principal axes of the grid; vectors in a block, and in a piece that is multiplied out.
 AXES, BLOCK, PIECE = 8, 4096, 256
 #: Blocks, at most, whose bounding boxes are broadcast (144 bytes each); with more vectors, blocks grow.
 MAX_BLOCKS = 400_000
+#: Bytes of vectors that one task of the join gets on average.
+PAIR_BYTES = 32 << 20
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -199,7 +201,8 @@ def linked(vectors: DataFrame, dtype, cosine: float) -> tuple[DataFrame, DataFra
     dim = len(first["x"]) // np.dtype(dtype).itemsize
     epsilon = float(np.sqrt(max(2 - 2 * cosine, 1e-12)))
     axes = principal_axes(packed, dtype, dim)
-    cut = written(blocks(packed, axes, dtype, dim, epsilon, packed.count()), "blocks")
+    n = packed.count()
+    cut = written(blocks(packed, axes, dtype, dim, epsilon, n), "blocks")
     boxes = cut.select("one", "lo", "hi").orderBy(*(F.col("lo")[i] for i in range(axes.shape[1])), "one").collect()
     names, lo, hi = (np.array([r[k] for r in boxes]) for k in range(3))
     known = vectors.sparkSession.sparkContext.broadcast((names, lo.reshape(len(names), -1), hi.reshape(len(names), -1), 2 - 2 * cosine + 1e-9))
@@ -214,7 +217,8 @@ def linked(vectors: DataFrame, dtype, cosine: float) -> tuple[DataFrame, DataFra
 
     spark = vectors.sparkSession
     pairs = written(spark.range(0, len(names), 1, min(len(names), 200)).mapInArrow(partners, "i long, j long"), "pairs")
-    rows = min(max(1, pairs.count()), 4096)
+    # A task's pairs of blocks, which may stand in one Arrow batch, have about PAIR_BYTES.
+    tasks = max(partitions(vectors), -(-pairs.count() * 2 * n * dim * np.dtype(dtype).itemsize // (len(names) * PAIR_BYTES)))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joiner = Joiner(axes, cosine)
@@ -232,7 +236,7 @@ def linked(vectors: DataFrame, dtype, cosine: float) -> tuple[DataFrame, DataFra
 
     a = cut.select(F.col("one").alias("i"), F.col("ids").alias("ia"), F.col("x").alias("xa"))
     b = cut.select(F.col("one").alias("j"), F.col("ids").alias("ib"), F.col("x").alias("xb"))
-    met = pairs.join(a, "i").join(b, "j").select("i", "j", "ia", "xa", "ib", "xb").repartition(rows)
+    met = pairs.join(a, "i").join(b, "j").select("i", "j", "ia", "xa", "ib", "xb").repartition(tasks)
     found = written(met.mapInArrow(join, "u long, n long, v long"), "found")
     for table in (packed, cut, pairs):
         dropped(table)
