@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetlake.llm.shared import row_blocks, string_buffer, text_columns
+from facetlake.llm.shared import bounded, row_blocks, string_buffer, text_columns
 from facetlake.llm.textkit import SPACES, Words, mix, randoms
 
 #: Labelled rows, at most, from which the space and the voters come; the choice follows a seeded hash of doc_id.
@@ -150,6 +150,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", s
 
 def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, threshold: float = 0.3) -> DataFrame:
     """The rows of docs, with all their columns, whose text scores at least threshold; quality_scores() row by row."""
+    bounded(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, label, sample))
     at = docs.columns.index("text")
 

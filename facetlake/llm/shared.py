@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 MAX_BROADCAST = 128 << 20
 
 
+#: Rows of an Arrow batch: texts may be long, and a batch stands in memory at both ends.
+BATCH_ROWS = 2000
+
+
+def bounded(spark: SparkSession) -> None:
+    """Let the session hand Python batches of BATCH_ROWS rows at most, whatever it allowed before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def scratch(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -71,6 +82,7 @@ def packed(rows: list[bytes]) -> pa.Array:
 
 def text_columns(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; others, whatever their names, stay out of the operator's way."""
+    bounded(docs.sparkSession)
     return docs.select(*[docs[n] for n in names])
 
 
