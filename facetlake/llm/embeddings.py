@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import components
-from facetlake.llm.shared import dropped, partitions, written
+from facetlake.llm.shared import bounded, dropped, partitions, written
 
 #: Leading principal axes of the grid; vectors in a block, and in a piece that is multiplied out.
 AXES, BLOCK, PIECE = 8, 4096, 256
@@ -252,6 +252,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     neither do those of a null vec_id, which keep a null component and are kept. Rows that repeat a vec_id
     are one vector, the least of theirs. Other columns are ignored; an empty table gives an empty one.
     """
+    bounded(vectors.sparkSession)
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), vectors["embedding"])
     single = own
     if own.groupBy("vec_id").count().filter("count > 1").limit(1).count():

@@ -8,21 +8,19 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Most bytes that an operator broadcasts in one piece.
 MAX_BROADCAST = 128 << 20
 
 
-#: Rows of an Arrow batch: texts may be long, and a batch stands in memory at both ends.
-BATCH_ROWS = 2000
+#: Rows and bytes of an Arrow batch: texts may be long, and a batch stands in memory at both ends.
+BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
 def bounded(spark: SparkSession) -> None:
-    """Let the session hand Python batches of BATCH_ROWS rows at most, whatever it allowed before."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Let the session hand Python batches of BATCH_ROWS rows and about BATCH_BYTES at most."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def scratch(spark: SparkSession) -> str:
@@ -76,15 +74,7 @@ def row_blocks(offsets: np.ndarray, limit: int):
         row = end
 
 
-def packed(rows: list[bytes]) -> pa.Array:
-    return pa.array(rows, pa.binary())
-
-
 def text_columns(docs: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; others, whatever their names, stay out of the operator's way."""
     bounded(docs.sparkSession)
     return docs.select(*[docs[n] for n in names])
-
-
-def long_id(docs: DataFrame, name: str):
-    return F.col(name).cast("long")
