@@ -5,7 +5,7 @@ earlier in its own. Suffixes are not sorted over the corpus. Each such string is
 anchor, the gram in it of least hash; equal strings have equal anchors, so the strings around one
 anchor, its context, meet under the anchor's hash. Contexts that are equal as a whole need no
 sorting: all but the first are repeated. Where contexts of one anchor differ, their texts are
-fetched, dealt by anchor, and indexed: shards of contexts get a Burrows-Wheeler transform each,
+fetched, dealt by anchor (those of a very frequent anchor one by one), and indexed: shards of contexts get a Burrows-Wheeler transform each,
 and shards are merged by iterative interleave refinement, which moves only the marks that say
 from which shard each suffix comes. Blocks of the interleave that are left after `length` bytes
 are the intervals of suffixes with that long a common prefix, and their members repeat.
@@ -31,6 +31,10 @@ STEP, ROUND = 1 << 18, 32 << 20
 RECORDS, TEXTS = 24 << 20, 2 << 20
 #: Bytes of contexts in a shard.
 SHARD = 1 << 20
+#: Differing contexts of one anchor that one task searches; strings of a more frequent anchor are dealt one by one.
+HOT = 20_000
+#: Mark, in a record's further starts, of such an anchor.
+_HOT = 1 << 15
 _RECORD = np.dtype([("fp", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("more", "<u2")])
 
 
@@ -284,7 +288,10 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
         alone = np.ones(len(kept), bool)
         alone[1:] = kept["fp"][1:] != kept["fp"][:-1]
         ends = np.append(alone[1:], True) if len(kept) else alone
-        want = kept[~(alone & ends)]
+        want = kept[~(alone & ends)].copy()
+        if len(want):
+            _, at, n = np.unique(want["fp"], return_inverse=True, return_counts=True)
+            want["more"][n[at] > HOT] |= _HOT
         out = [span_rows(gone["doc"], gone["lo"], gone["lo"].astype(np.int64) + gone["more"] + length, GONE)]
         want = want[np.argsort(want["doc"], kind="stable")]
         edge = np.flatnonzero(np.append(True, np.diff(want["doc"]) != 0)) if len(want) else []
@@ -307,13 +314,30 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, rows = [], []
+            one: dict[bytes, list] = {}
             for text, blobs in zip(batch.column(1), batch.column(2), strict=True):
                 data = text.as_buffer()
                 for r in np.concatenate([np.frombuffer(x, _RECORD) for x in blobs.as_py()]):
-                    keys.append(int(mix(r["fp"][None])[0] % np.uint64(groups)))
-                    lo = int(r["lo"])
-                    rows.append(r.tobytes() + data[lo : lo + int(r["more"]) + length].to_pybytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(rows, pa.binary())], ["g", "data"])
+                    lo, more = int(r["lo"]), int(r["more"])
+                    if more & _HOT:
+                        for k in range(lo, lo + (more & ~_HOT) + 1):
+                            one.setdefault(data[k : k + length].to_pybytes(), []).append((int(r["doc"]), k, int(r["fp"])))
+                    else:
+                        keys.append(int(mix(r["fp"][None])[0] % np.uint64(groups)))
+                        rows.append(r.tobytes() + data[lo : lo + more + length].to_pybytes())
+            later = []
+            for string, places in one.items():
+                # Of equal strings in a batch the first alone goes on; where it goes, its bytes say.
+                places.sort()
+                doc, k, fp = places[0]
+                keys.append(int.from_bytes(hashlib.blake2b(string, digest_size=7).digest()) % groups)
+                rows.append(np.array((fp, 0, doc, k, 0), _RECORD).tobytes() + string)
+                later += [(d, k) for d, k, _ in places[1:] if (d, k) != places[0][:2]]
+            out = pd.DataFrame({"kind": np.full(len(keys), WANTED, np.int32), "key": np.array(keys, np.int64), "data": rows})
+            if later:
+                d, k = np.array(later, np.int64).T
+                out = pd.concat([out, span_rows(d, k, k + length, GONE)])
+            yield pa.RecordBatch.from_pandas(out, pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("data", pa.binary())]), preserve_index=False)
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         head = _RECORD.itemsize
@@ -328,9 +352,11 @@ def repeats(docs: DataFrame, length: int) -> DataFrame:
         later = (doc != doc[lead]) | (at != at[lead])
         return span_rows(doc[later], at[later], at[later] + length, GONE)
 
-    texts = docs.join(wanted, docs["doc_id"] == wanted["key"]).select("doc_id", "text", "wanted").mapInArrow(fetch, "g long, data binary")
-    more = written(texts.groupBy("g").applyInPandas(search, ROWS), "repeats")
+    texts = written(docs.join(wanted, docs["doc_id"] == wanted["key"]).select("doc_id", "text", "wanted").mapInArrow(fetch, ROWS), "texts")
+    more = texts.filter(F.col("kind") == WANTED).groupBy("key").applyInPandas(search, ROWS)
+    more = written(more.unionByName(texts.filter(F.col("kind") == GONE)), "repeats")
     dropped(met)
+    dropped(texts)
     return gone.unionByName(more.select(F.col("key").alias("doc_id"), "data"))
 
 

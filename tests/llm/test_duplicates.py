@@ -158,8 +158,9 @@ def passage_docs(seed):
     return [*docs, docs[0], docs[1], "ab" * 300, "x" * 1000, None, "", "x" * 99, "x" * 100]
 
 
-@pytest.mark.parametrize("length", [100, 30])
-def test_suffix_removal(spark, monkeypatch, length):
+@pytest.mark.parametrize("length,hot", [(100, 20_000), (30, 20_000), (30, 1)])
+def test_suffix_removal(spark, monkeypatch, length, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)
     monkeypatch.setattr(suffix, "ROUND", 3000)
     monkeypatch.setattr(suffix, "STEP", 1000)
     monkeypatch.setattr(suffix, "SHARD", 900)
