@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetlake.llm.shared import row_blocks, string_buffer, text_columns, written
+from facetlake.llm.shared import row_blocks, string_buffer, text_columns, without, written
 from facetlake.llm.textkit import MARKS, STEP, Words, mix, randoms
 
 #: Bytes of benchmark texts in one broadcast set of tables; more are searched for in turns.
@@ -189,5 +189,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20) -> DataFrame:
     """The rows of docs, with all their columns, that are not contaminated; one of a null doc_id stays."""
-    bad = contamination(docs, benchmark, size, share).filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["_bad"], "left_anti")
+    return without(docs, contamination(docs, benchmark, size, share).filter("contaminated").select(F.col("doc_id").alias("_gone")))

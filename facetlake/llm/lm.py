@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetlake.llm.shared import row_blocks, string_buffer, text_columns, written
+from facetlake.llm.shared import few, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms
 
 #: Buckets of words and of pairs; weight of the unigrams in a bigram's estimate.
@@ -25,8 +25,6 @@ WORDS, PAIRS, BACKOFF = 1 << 18, 1 << 21, 50.0
 #: Slices of the tables that are summed apart; partial tables that one task adds up.
 SLICES, FAN = 18, 32
 STEP = 1 << 21
-#: Ids of target documents, at most, that are broadcast (about 24 bytes each).
-MOST_TARGETS = 2_000_000
 _PAIR = randoms(81, 2) | np.uint64(1)
 _SLICE = (WORDS + PAIRS) // SLICES
 
@@ -108,9 +106,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     target its model is uniform. Other columns are ignored; an empty table gives an empty one.
     """
     own = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = target.select(target["doc_id"].cast("long").alias("_id")).dropna().distinct().withColumn("_t", F.lit(True))
-    if chosen.count() <= MOST_TARGETS:  # else the texts are shuffled to meet their marks
-        chosen = F.broadcast(chosen)
+    chosen = few(target.select(target["doc_id"].cast("long").alias("_id")).dropna()).withColumn("_t", F.lit(True))
     marked = own.join(chosen, F.col("doc_id") == F.col("_id"), "left").select("text", F.coalesce("_t", F.lit(False)).alias("target"))
     known = docs.sparkSession.sparkContext.broadcast(counts(marked).astype(np.int64))
 

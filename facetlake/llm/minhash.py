@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import Forest, components
-from facetlake.llm.shared import dropped, partitions, row_blocks, string_buffer, text_columns, written
+from facetlake.llm.shared import dropped, partitions, row_blocks, string_buffer, text_columns, without, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms, row_windows
 
 #: Symbols in a chunk, with at most one error; bits of a symbol.
@@ -305,5 +305,4 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
 def deduplicated(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """The rows of docs, with all their columns, that near_duplicates() keeps; those of a null doc_id stay."""
-    gone = near_duplicates(docs, size, threshold).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    return without(docs, near_duplicates(docs, size, threshold).filter("not kept").select(F.col("doc_id").alias("_gone")))

@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Most bytes that an operator broadcasts in one piece.
 MAX_BROADCAST = 128 << 20
@@ -46,6 +47,22 @@ def dropped(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Ids, at most, that a join broadcasts (about 24 bytes each); more are shuffled.
+MOST_IDS = 2_000_000
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """Distinct ids, written, with a hint to broadcast them if they are no more than MOST_IDS."""
+    ids = written(ids.distinct(), "ids")
+    return F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is not among ids (_gone); those of a null doc_id stay."""
+    gone = few(ids)
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
