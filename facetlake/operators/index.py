@@ -30,15 +30,18 @@ def find(index: DataFrame, face: int, level: int, morton: int) -> DataFrame:
     return index.filter((F.col("face") == face) & (F.col("level") == level) & (F.col("morton") == morton))
 
 
-def subtree(index: DataFrame, face: int, level: int, morton: int) -> DataFrame:
+def subtree(index: DataFrame, face: int, level: int, morton: int, deepest: int | None = None) -> DataFrame:
     """A root, if it is a tile, and all tiles below it.
 
-    At each level the subtree is one range of Morton codes; the ranges are constants that reach the scan.
+    With the index's deepest level given, each level's range of Morton codes is a constant that reaches the
+    scan of a written table; without it, one shift of the code is compared.
     """
-    below = F.lit(False)
-    for deep in range(level, keys.MAX_LEVEL + 1):
-        lo = morton << 2 * (deep - level)
-        below = below | ((F.col("level") == deep) & F.col("morton").between(lo, lo + (1 << 2 * (deep - level)) - 1))
+    below = keys.in_subtree(F.col("face"), F.col("level"), F.col("morton"), F.lit(face), F.lit(level), F.lit(morton))
+    if deepest is not None:
+        below = F.lit(False)
+        for deep in range(level, deepest + 1):
+            lo = morton << 2 * (deep - level)
+            below = below | ((F.col("level") == deep) & F.col("morton").between(lo, lo + (1 << 2 * (deep - level)) - 1))
     return index.filter((F.col("face") == face) & (F.col("level") >= level) & below)
 
 

@@ -34,7 +34,7 @@ def test_hierarchy(spark):
 def test_index_on_disk_is_pruned(spark, tmp_path):
     rows = [(f, lv, m, m) for f in range(6) for lv in (2, 3) for m in range(4**lv)]
     index.write_index(spark.createDataFrame(rows, f"{TILE}, v long"), str(tmp_path / "t"))
-    got = index.subtree(spark.read.parquet(str(tmp_path / "t")), 3, 2, 7)
+    got = index.subtree(spark.read.parquet(str(tmp_path / "t")), 3, 2, 7, 3)
     assert got.count() == 5
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "PushedFilters" in plan and "face" in plan.split("PartitionFilters")[1]
