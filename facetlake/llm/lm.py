@@ -1,9 +1,14 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model is counted over chosen documents, the background model over all. Both are
-bigram models that back off to unigrams, over one vocabulary: the buckets that words, and
-pairs of words, hash to. Their tables have a fixed size, so they can be broadcast whatever
-the corpus holds; every word of it is counted.
+bigram models that back off to unigrams, with a count for every distinct word and pair of the
+corpus; grams are told apart by 63-bit hashes, of which two among 10**9 meet with a chance of
+one in twenty.
+
+Documents are dealt into blocks of text. A block asks for its distinct grams, with its own
+counts of them, in shards by hash; a shard adds up the counts of all blocks and answers each in
+the order of its request, so that neither a block nor a shard grows with the corpus: there are
+more of both.
 """
 
 from __future__ import annotations
@@ -11,88 +16,157 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from facetlake.llm.shared import few, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms
 
-#: Buckets of words and of pairs; weight of the unigrams in a bigram's estimate.
-WORDS, PAIRS, BACKOFF = 1 << 18, 1 << 21, 50.0
-#: Slices of the tables that are summed apart; partial tables that one task adds up.
-SLICES, FAN = 18, 32
+#: Least vocabulary that the smoothing spreads over; a corpus of more distinct words counts its own. Weight of the unigrams in a bigram's estimate.
+WORDS, BACKOFF = 1 << 18, 50.0
+#: Bytes of a block, each row as ROW more; blocks to a shard.
+BLOCK, ROW, BLOCKS = 8 << 20, 64, 2
 STEP = 1 << 21
 _PAIR = randoms(81, 2) | np.uint64(1)
-_SLICE = (WORDS + PAIRS) // SLICES
+_ONE = np.uint64(1)
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, word buckets and pair buckets of all words; the first word of a row pairs with its start."""
+    """Rows, word keys (even) and pair keys (odd) of all words; the first word of a row pairs with its start."""
     words = Words(raw, offsets, SPACES)
     h, rows = words.hashes(), words.rows()
     before = np.zeros_like(h)
     before[1:] = h[:-1]
     first = words.first[:-1][words.counts > 0]
     before[first] = 1
-    pair = mix(before * _PAIR[0] + h * _PAIR[1])
-    return rows, (h % np.uint64(WORDS)).astype(np.int64), (pair % np.uint64(PAIRS)).astype(np.int64)
+    return rows, h & ~_ONE, mix(before * _PAIR[0] + h * _PAIR[1]) | _ONE
 
 
-def counts(docs: DataFrame) -> np.ndarray:
-    """Two rows of counts, of the target's and of all documents' words and pairs, from (text, target).
+def all_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """grams() of a column of any size, in steps."""
+    raw, offsets = string_buffer(texts)
+    parts = []
+    for a, b in row_blocks(offsets, STEP):
+        rows, word, pair = grams(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        parts.append((rows + a, word, pair))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    return tuple(np.concatenate(x) for x in zip(none, *parts, strict=True))
 
-    Every task counts into tables of its own; those are added up by slices, in rounds of at most FAN
-    partial tables, so that no task holds more, however many tasks there are.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, WORDS + PAIRS), np.int64)
+def packed(x: np.ndarray) -> bytes:
+    """Counts, compressed, behind their number."""
+    x = x.astype(np.int64)
+    return len(x).to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little") * 8, codec="zstd", asbytes=True), np.int64)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and how often each stands."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+    return keys[at], np.diff(np.append(at, len(keys)))
+
+
+def blocked(docs: DataFrame) -> DataFrame:
+    """docs, written, with a block for about every BLOCK bytes of text and the row's number in its task."""
+    at = docs.columns.index("text")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, count, task = 0, 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            _, offsets = string_buffer(batch.column(at))
+            n = np.arange(batch.num_rows)
+            block = task + (size + offsets[:-1] + n * ROW) // BLOCK
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block), pa.array(count + n)], [*batch.schema.names, "block", "row"])
+            size, count = size + int(offsets[-1]) + batch.num_rows * ROW, count + batch.num_rows
+
+    schema = StructType([*docs.schema.fields, StructField("block", LongType()), StructField("row", LongType())])
+    return written(docs.mapInArrow(deal, schema), "blocks")
+
+
+def requests(blocks: DataFrame) -> DataFrame:
+    """For each run of rows of a block that one task reads, and each shard: the run's distinct keys, and their counts in all and in target rows.
+
+    A scan may split a block, so a request names its rows: from `first` on, `rows` of them.
+    """
+    dealt = blocks.select("block").distinct().count()
+    bits = max(1, (dealt // BLOCKS).bit_length())
+    starts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
+    def request(run: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(run)
+        rows, word, pair = all_grams(t["text"])
+        own = t["target"].to_numpy().astype(bool)[rows]
+        keys, n = distinct(np.concatenate([word, pair]))
+        some, k = distinct(np.concatenate([word[own], pair[own]]))
+        of = np.zeros(len(keys), np.int64)
+        of[np.searchsorted(keys, some)] = k
+        cut = np.append(np.searchsorted(keys, starts), len(keys))
+        parts = list(zip(cut[:-1], cut[1:], strict=True))
+        same = [pa.array([x] * len(parts), pa.int64()) for x in (t["block"][0].as_py(), t["row"][0].as_py(), t.num_rows)]
+        blobs = [[f(x[a:b]) for a, b in parts] for x, f in ((keys, np.ndarray.tobytes), (n, packed), (of, packed))]
+        return pa.RecordBatch.from_arrays([*same, pa.array(range(len(parts)), pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]], ["block", "first", "rows", "shard", "keys", "n", "t"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, last = [], None
         for batch in batches:
-            raw, offsets = string_buffer(batch.column(0))
-            target = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for a, b in row_blocks(offsets, STEP):
-                rows, word, pair = grams(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                own = target[a:b][rows]
-                for k, (w, p) in enumerate(((word[own], pair[own]), (word, pair))):
-                    total[k] += np.bincount(np.concatenate([w, p + WORDS]), minlength=WORDS + PAIRS)
-        part = TaskContext.get().partitionId()
-        for s in range(SLICES):
-            x = total[:, s * _SLICE : (s + 1) * _SLICE]
-            at = np.flatnonzero(x)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array([s]), pa.array([part], pa.int64()), pa.array([at.astype(np.uint32).tobytes()], pa.binary()), pa.array([x.ravel()[at].tobytes()], pa.binary())], ["slice", "part", "at", "n"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(2 * _SLICE, np.int64)
-        for at, n in zip(rows["at"], rows["n"], strict=True):
-            total[np.frombuffer(at, np.uint32)] += np.frombuffer(n, np.int64)
-        at = np.flatnonzero(total)
-        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "part": rows["part"].iloc[:1] // FAN, "at": [at.astype(np.uint32).tobytes()], "n": [total[at].tobytes()]})
-
-    schema = "slice long, part long, at binary, n binary"
-    parts = written(docs.mapInArrow(count, schema), "counts")
-    while True:
-        most = parts.agg(F.max("part")).first()[0]
-        if not most:
-            break
-        parts = written(parts.groupBy("slice", F.floor(F.col("part") / FAN).alias("fan")).applyInPandas(add, schema), "counts")
-    out = np.zeros((2, WORDS + PAIRS), np.int64)
-    for r in parts.collect():
-        x = np.zeros(2 * _SLICE, np.int64)
-        x[np.frombuffer(r["at"], np.uint32)] = np.frombuffer(r["n"], np.int64)
-        out[:, r["slice"] * _SLICE : (r["slice"] + 1) * _SLICE] = x.reshape(2, _SLICE)
-    return out
-
-
-def losses(table: np.ndarray, word: np.ndarray, before: np.ndarray, pair: np.ndarray, total: int) -> np.ndarray:
-    """Negative log probability of each word after the one before it; `before` is -1 at the start of a row."""
-    p = (table[word] + 1.0) / (total + WORDS)
-    seen = np.where(before >= 0, table[before], 0)
-    joint = np.minimum(table[WORDS + pair], np.where(before >= 0, seen, np.iinfo(np.int64).max))
-    seen = np.where(before >= 0, seen, joint)
+            if not batch.num_rows:
+                continue
+            block, row = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cut = np.flatnonzero((np.diff(block) != 0) | (np.diff(row) != 1)) + 1
+            for a, b in zip([0, *cut], [*cut, batch.num_rows], strict=True):
+                if run and last != (block[a], row[a] - 1):
+                    yield request(run)
+                    run = []
+                run.append(batch.slice(a, b - a))
+                last = block[b - 1], row[b - 1]
+        if run:
+            yield request(run)
+
+    return blocks.select("block", "row", "text", "target").mapInArrow(ask, "block long, first long, rows long, shard long, keys binary, n binary, t binary")
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """Each request, written, with the whole corpus' counts of its keys; a shard's first row has its distinct words, and its words in all and in target rows."""
+
+    def add(shard: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(x, np.uint64) for x in shard["keys"].to_pylist()]
+        cut = np.cumsum([0, *map(len, keys)])
+        known, at = np.unique(np.concatenate(keys), return_inverse=True)
+        word, out, sums = known & _ONE == 0, [], []
+        for name in ("n", "t"):
+            part = np.concatenate([unpacked(x) for x in shard[name].to_pylist()])
+            total = np.zeros(len(known), np.int64)
+            np.add.at(total, at, part)
+            out.append(pa.array([packed(total[at[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
+            sums.append(int(total[word].sum()))
+        rest = [0] * (len(keys) - 1)
+        stats = [pa.array([x, *rest], pa.int64()) for x in (int(word.sum()), *sums)]
+        return pa.table([*[shard[c] for c in ("block", "first", "rows", "shard")], *out, *stats], names=["block", "first", "rows", "shard", "n", "t", "vocabulary", "words", "target_words"])
+
+    schema = "block long, first long, rows long, shard long, n binary, t binary, vocabulary long, words long, target_words long"
+    return written(asked.groupBy("shard").applyInArrow(add, schema), "answers")
+
+
+def sizes(answered: DataFrame) -> tuple[int, int, int]:
+    """Distinct words, and words of the target's and of all documents."""
+    return tuple(x or 0 for x in answered.agg(F.sum("vocabulary"), F.sum("target_words"), F.sum("words")).first())
+
+
+def counts(docs: DataFrame) -> np.ndarray:
+    """A row each, the words of the target's and of all documents, from (text, target)."""
+    return np.array(sizes(answers(requests(blocked(docs))))[1:]).reshape(2, 1)
+
+
+def losses(word: np.ndarray, seen: np.ndarray, joint: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
+    """Negative log probability of words, from the counts of each, of the one before it and of both."""
+    p = (word + 1.0) / (total + vocabulary)
     return -np.log((joint + BACKOFF * p) / (seen + BACKOFF))
 
 
@@ -107,23 +181,36 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     """
     own = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = few(target.select(target["doc_id"].cast("long").alias("_id")).dropna()).withColumn("_t", F.lit(True))
-    marked = own.join(chosen, F.col("doc_id") == F.col("_id"), "left").select("text", F.coalesce("_t", F.lit(False)).alias("target"))
-    known = docs.sparkSession.sparkContext.broadcast(counts(marked).astype(np.int64))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = known.value
-        totals = models[:, :WORDS].sum(axis=1)
-        for batch in batches:
-            raw, offsets = string_buffer(batch.column(1))
-            for a, b in row_blocks(offsets, STEP):
-                rows, word, pair = grams(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                before = np.full(len(word), -1)
-                same = rows[1:] == rows[:-1]
-                before[1:][same] = word[:-1][same]
-                n = np.bincount(rows, minlength=b - a)
-                loss = [np.bincount(rows, losses(m, word, before, pair, t), b - a) / np.maximum(n, 1) for m, t in zip(models, totals, strict=True)]
-                none = n == 0
-                out = [pa.array(x, pa.float64(), mask=none) for x in (*loss, loss[0] - loss[1])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), *out], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return own.mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    marked = own.join(chosen, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", F.coalesce("_t", F.lit(False)).alias("target"))
+    blocks = blocked(marked)
+    answered = answers(requests(blocks))
+    vocabulary, *totals = sizes(answered)
+    vocabulary = max(vocabulary, WORDS)
+    names = ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+
+    def score(texts: pa.Table, known: pa.Table) -> pa.Table:
+        texts, known = texts.sort_by("row"), known.sort_by([("first", "ascending"), ("shard", "ascending")])
+        start, out = texts["row"][0].as_py(), []
+        firsts = known["first"].to_numpy()
+        for first in np.unique(firsts):
+            asked = known.filter(pa.array(firsts == first))
+            some = texts.slice(first - start, asked["rows"][0].as_py())
+            rows, word, pair = all_grams(some["text"])
+            _, at = np.unique(np.concatenate([word, pair]), return_inverse=True)
+            word, pair = at[: len(word)], at[len(word) :]
+            begins = np.ones(len(rows), bool)
+            begins[1:] = rows[1:] != rows[:-1]
+            n = np.bincount(rows, minlength=some.num_rows)
+            loss = []
+            for name, total in zip(("t", "n"), totals, strict=True):
+                table = np.concatenate([unpacked(x) for x in asked[name].to_pylist()])
+                joint, seen = table[pair], np.roll(table[word], 1)
+                seen[begins] = joint[begins]
+                loss.append(np.bincount(rows, losses(table[word], seen, joint, total, vocabulary), some.num_rows) / np.maximum(n, 1))
+            scored = [pa.array(x, pa.float64(), mask=n == 0) for x in (*loss, loss[0] - loss[1])]
+            out.append(pa.table([some["doc_id"], pa.array(n, pa.int64()), *scored], names=names))
+        return pa.concat_tables(out)
+
+    texts = blocks.select("block", "row", "doc_id", "text").groupBy("block")
+    known = answered.select("block", "first", "rows", "shard", "n", "t").groupBy("block")
+    return texts.cogroup(known).applyInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -157,3 +157,29 @@ def test_lm_counts_add_up_over_many_tasks(spark):
     df = spark.range(0, 80, 1, 40).select(F.lit("one two three").alias("text"), (F.col("id") % 2 == 0).alias("target"))
     total = lm.counts(df)
     assert total[:, : lm.WORDS].sum(axis=1).tolist() == [120, 240]
+
+
+def test_lm_counts_exactly_beyond_the_least_vocabulary(spark):
+    texts = [" ".join(f"w{i * 6000 + k}" for k in range(6000)) + " common words" * (i % 3) for i in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    target = spark.createDataFrame([(0,), (1,)], "doc_id long")
+    got = {r.doc_id: r for r in lm.cross_entropy_difference(df, target).collect()}
+    uni, bi = {}, {}
+    for t in texts:
+        for b, w in zip([None, *t.split()], t.split()):
+            uni[w], bi[b, w] = uni.get(w, 0) + 1, bi.get((b, w), 0) + 1
+    assert len(uni) > lm.WORDS
+    for i, t in enumerate(texts):
+        p = [((uni[w] + 1) / (sum(uni.values()) + len(uni)), bi[b, w], bi[b, w] if b is None else uni[b]) for b, w in zip([None, *t.split()], t.split())] if i < 3 else []
+        if p:
+            assert abs(got[i].background_loss + np.mean([np.log((c + lm.BACKOFF * q) / (n + lm.BACKOFF)) for q, c, n in p])) < 1e-9
+
+
+def test_lm_scores_blocks_that_a_scan_splits(spark, monkeypatch):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, " ".join(words(rng, 30, 50))) for i in range(300)], "doc_id long, text string").repartition(3)
+    target = df.filter("doc_id % 3 = 0").select("doc_id")
+    whole = {r.doc_id: tuple(r) for r in lm.cross_entropy_difference(df, target).collect()}
+    monkeypatch.setattr(lm, "blocked", lambda docs, f=lm.blocked: f(docs).repartition(7).sortWithinPartitions("block", "row"))
+    got = {r.doc_id: tuple(r) for r in lm.cross_entropy_difference(df, target).collect()}
+    assert len(got) == 300 and all(np.allclose(got[i], whole[i]) for i in whole)
