@@ -37,12 +37,23 @@ def subtree(spark, sf_dir) -> DataFrame:
     return index.subtree(index_levels(spark, sf_dir), 2, 2, 5)
 
 
+def _below(spark, sf_dir, roots: DataFrame) -> DataFrame:
+    roots = roots.select(F.col("face").alias("root_face"), F.col("level").alias("root_level"), F.col("morton").alias("root_morton")).distinct()
+    return index.subtrees(index_levels(spark, sf_dir), roots).groupBy("root_face", "root_level", "root_morton").agg(F.count("*").alias("tiles"), F.sum("n").alias("n"))
+
+
 @query(f"""with {LEVELS}, {IDXL}, roots as (select distinct face, level, morton from levels where level in (1, 2) and o_orderkey % 3 = 0)
 select r.face root_face, r.level root_level, r.morton root_morton, count(*) tiles, sum(n)::bigint n from roots r join idx i
 on i.face = r.face and i.level >= r.level and (i.morton >> (2 * greatest(i.level - r.level, 0))::int) = r.morton group by all""")
 def subtree_multi_join(spark, sf_dir) -> DataFrame:
-    roots = levels(spark, sf_dir).filter("level in (1, 2) and o_orderkey % 3 = 0").select(F.col("face").alias("root_face"), F.col("level").alias("root_level"), F.col("morton").alias("root_morton")).distinct()
-    return index.subtrees(index_levels(spark, sf_dir), roots).groupBy("root_face", "root_level", "root_morton").agg(F.count("*").alias("tiles"), F.sum("n").alias("n"))
+    return _below(spark, sf_dir, levels(spark, sf_dir).filter("level in (1, 2) and o_orderkey % 3 = 0"))
+
+
+@query(f"""with {LEVELS}, {IDXL}, roots as (select distinct face, level, morton from levels where level in (1, 2))
+select r.face root_face, r.level root_level, r.morton root_morton, count(*) tiles, sum(n)::bigint n from roots r join idx i
+on i.face = r.face and i.level >= r.level and (i.morton >> (2 * greatest(i.level - r.level, 0))::int) = r.morton group by all""")
+def subtree_multi_join_whole(spark, sf_dir) -> DataFrame:
+    return _below(spark, sf_dir, levels(spark, sf_dir).filter("level in (1, 2)"))
 
 
 @query(f"with {LEVELS}, {IDXL} select face, level, morton, n from idx where face = 1 and (n % 4) = 0")
@@ -123,12 +134,21 @@ def union_roots(spark, sf_dir) -> DataFrame:
     return out
 
 
+def _covered(spark, sf_dir, li: DataFrame) -> DataFrame:
+    cov = li.select(F.col("l_suppkey").alias("dataset"), (F.col("l_orderkey") % 6).cast("int").alias("root_face"), F.lit(2).alias("root_level"), (F.col("l_partkey") % 16).alias("root_morton")).distinct()
+    return index.subtrees(index4(spark, sf_dir), cov).groupBy("dataset", "face").agg(F.countDistinct("morton").alias("tiles"))
+
+
 @query(f"""with {TILES}, {IDX4}, cov as (select l_suppkey dataset, (l_orderkey % 6)::int face, 2 as level, (l_partkey % 16)::bigint morton from lineitem where l_linenumber = 1)
 select dataset, i.face, count(distinct i.morton) tiles from (select distinct * from cov) c join idx i on i.face = c.face and (i.morton >> 4) = c.morton group by all""")
 def coverage_join(spark, sf_dir) -> DataFrame:
-    cov = table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber").filter("l_linenumber = 1")
-    cov = cov.select(F.col("l_suppkey").alias("dataset"), (F.col("l_orderkey") % 6).cast("int").alias("root_face"), F.lit(2).alias("root_level"), (F.col("l_partkey") % 16).alias("root_morton")).distinct()
-    return index.subtrees(index4(spark, sf_dir), cov).groupBy("dataset", "face").agg(F.countDistinct("morton").alias("tiles"))
+    return _covered(spark, sf_dir, table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber").filter("l_linenumber = 1"))
+
+
+@query(f"""with {TILES}, {IDX4}, cov as (select l_suppkey dataset, (l_orderkey % 6)::int face, 2 as level, (l_partkey % 16)::bigint morton from lineitem)
+select dataset, i.face, count(distinct i.morton) tiles from (select distinct * from cov) c join idx i on i.face = c.face and (i.morton >> 4) = c.morton group by all""")
+def coverage_join_whole(spark, sf_dir) -> DataFrame:
+    return _covered(spark, sf_dir, table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey", "l_partkey"))
 
 
 @query(f"""with {LEVELS}, {IDXL}, leaf as (select face, level, morton, min_code from idx i where not exists (select 1 from idx c where c.face = i.face and c.level = i.level + 1 and (c.morton >> 2) = i.morton))

@@ -225,15 +225,24 @@ def contribution_sum(spark, sf_dir) -> DataFrame:
     return registry.contribution_errors(pal).select("l_orderkey", F.round(F.col("total") * 1e4).cast("long").alias("total"))
 
 
-@query("""with t(tag) as (select ['DSET', 'META', 'PACK', 'STRS', 'TIDX', 'XTRA'][o_orderkey % 6 + 1] from orders where o_orderkey % 11 < 5 or o_orderkey % 6 = 1)
-select tag, count(*) n, count(*) = 1 as once, tag <> 'XTRA' mandatory from t group by tag""")
-def chunk_counts(spark, sf_dir) -> DataFrame:
+def _tag_counts(o: DataFrame) -> DataFrame:
     tags = F.array(*map(F.lit, ("DSET", "META", "PACK", "STRS", "TIDX", "XTRA")))
-    o = table(spark, sf_dir, "orders", "o_orderkey").filter("o_orderkey % 11 < 5 or o_orderkey % 6 = 1")
     t = o.select(F.element_at(tags, (F.col("o_orderkey") % 6 + 1).cast("int")).alias("tag"))
     return t.groupBy("tag").agg(F.count("*").alias("n")).withColumns({"once": F.col("n") == 1, "mandatory": F.col("tag") != "XTRA"})
 
 
+@query("""with t(tag) as (select ['DSET', 'META', 'PACK', 'STRS', 'TIDX', 'XTRA'][o_orderkey % 6 + 1] from orders where o_orderkey % 11 < 5 or o_orderkey % 6 = 1)
+select tag, count(*) n, count(*) = 1 as once, tag <> 'XTRA' mandatory from t group by tag""")
+def chunk_counts(spark, sf_dir) -> DataFrame:
+    return _tag_counts(table(spark, sf_dir, "orders", "o_orderkey").filter("o_orderkey % 11 < 5 or o_orderkey % 6 = 1"))
+
+
+@query("""with t(tag) as (select ['DSET', 'META', 'PACK', 'STRS', 'TIDX', 'XTRA'][o_orderkey % 6 + 1] from orders)
+select tag, count(*) n, count(*) = 1 as once, tag <> 'XTRA' mandatory from t group by tag""")
+def chunk_counts_whole(spark, sf_dir) -> DataFrame:
+    return _tag_counts(table(spark, sf_dir, "orders", "o_orderkey"))
+
+
 @query(f"""with {TILES}, {IDX4}, h as (select face, morton, min_code + (case when morton % 13 = 0 then 1 else 0 end) min_code, max_code from idx)
 select face, morton, case when i.min_code <> h.min_code then 'min_code' else 'max_code' end field from idx i join h using (face, morton) where i.min_code <> h.min_code or i.max_code <> h.max_code""")
 def tile_agreement(spark, sf_dir) -> DataFrame:

@@ -33,21 +33,43 @@ def catalog_rules(spark, sf_dir) -> DataFrame:
     return catalog.violations(own)
 
 
+def _palettes(li: DataFrame) -> DataFrame:
+    return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_suppkey").alias("dataset_id")))).alias("palette"))
+
+
+def _entries(li: DataFrame) -> DataFrame:
+    return catalog.palette_entries(_palettes(li)).select("l_orderkey", F.col("pos").cast("long").alias("pos"), "dataset_id")
+
+
+def _mapped(li: DataFrame) -> DataFrame:
+    pal = _palettes(li).withColumn("map", F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: ((F.col("l_orderkey") + i) % 4).cast("int")))
+    return catalog.map_entries(pal).select("l_orderkey", F.col("pos").cast("long").alias("pos"), "dataset_id")
+
+
 @query("""with p as (select l_orderkey, list(distinct l_suppkey order by l_suppkey) ids from lineitem where l_orderkey % 3 = 0 group by l_orderkey)
 select l_orderkey, i - 1 as pos, ids[i] dataset_id from p, unnest(range(1, len(ids) + 1)) t(i)""")
 def provenance_palette(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").filter("l_orderkey % 3 = 0").distinct()
-    pal = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_suppkey").alias("dataset_id")))).alias("palette"))
-    return catalog.palette_entries(pal).select("l_orderkey", F.col("pos").cast("long").alias("pos"), "dataset_id")
+    return _entries(li)
+
+
+@query("""with p as (select l_orderkey, list(distinct l_suppkey order by l_suppkey) ids from lineitem group by l_orderkey)
+select l_orderkey, i - 1 as pos, ids[i] dataset_id from p, unnest(range(1, len(ids) + 1)) t(i)""")
+def provenance_palette_whole(spark, sf_dir) -> DataFrame:
+    return _entries(table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").distinct())
 
 
 @query("""with p as (select l_orderkey, list(distinct l_suppkey order by l_suppkey) ids from lineitem where l_orderkey % 5 = 0 group by l_orderkey)
 select l_orderkey, i pos, ids[(l_orderkey + i) % 4 + 1] dataset_id from p, range(6) t(i)""")
 def provenance_map(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").filter("l_orderkey % 5 = 0").distinct()
-    pal = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_suppkey").alias("dataset_id")))).alias("palette"))
-    pal = pal.withColumn("map", F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: ((F.col("l_orderkey") + i) % 4).cast("int")))
-    return catalog.map_entries(pal).select("l_orderkey", F.col("pos").cast("long").alias("pos"), "dataset_id")
+    return _mapped(li)
+
+
+@query("""with p as (select l_orderkey, list(distinct l_suppkey order by l_suppkey) ids from lineitem group by l_orderkey)
+select l_orderkey, i pos, ids[(l_orderkey + i) % 4 + 1] dataset_id from p, range(6) t(i)""")
+def provenance_map_whole(spark, sf_dir) -> DataFrame:
+    return _mapped(table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").distinct())
 
 
 @query("select o_custkey, count(distinct o_orderpriority) n, min(o_orderpriority) first_one, list_contains(list(o_orderpriority), '1-URGENT') urgent from orders group by o_custkey")
