@@ -18,8 +18,11 @@ from pyspark.sql import DataFrame
 
 from facetlake.llm.shared import text_columns
 
-#: Elements whose content is no text of the page.
-_RAW = "script|style|template|noscript|title|textarea|svg|math|iframe|object|canvas|select|audio|video"
+#: Elements whose content is no text of the page, to its end where they are not closed.
+_RAW = "script|style|template|noscript|title|textarea|iframe"
+#: The same, but of one that is not closed only the tag is left out.
+_QUIET = frozenset("svg object canvas select audio video annotation annotation-xml".split())
+_ANY_QUIET = re.compile(rf"<(?:{'|'.join(_QUIET)})\b", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\b[^>]*>|\Z)"
     r"|<(/?)([a-z][a-z0-9-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-z/!?][^>]*(?:>|\Z)",
@@ -47,6 +50,29 @@ BIAS, LINKS, PROSE, LONG, HEADING = -1.5, -4.0, 1.0, 1.5, 0.5
 ORDER, SIBLINGS = 0.3, 0.4
 
 
+def quiet(page: str, tokens: list[re.Match]) -> dict[int, int]:
+    """Start and end of each quiet element that is closed before the block around it is."""
+    out: dict[int, int] = {}
+    if not _ANY_QUIET.search(page):
+        return out
+    stack: list[tuple[str, int]] = []
+    for m in tokens:
+        name = (m.group(3) or "").lower()
+        if name not in _QUIET and (name not in BLOCKS or name in _VOID):
+            continue
+        if not m.group(2):
+            if not (name == "svg" and m.group(4).endswith("/")):
+                stack.append((name, m.start()))
+            continue
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] == name:
+                if name in _QUIET:
+                    out[stack[k][1]] = m.end()
+                del stack[k:]
+                break
+    return out
+
+
 class Block:
     __slots__ = ("text", "score", "path")
 
@@ -82,10 +108,14 @@ def blocks(page: str) -> list[Block]:
             if anchor:
                 linked += len(text.strip())
 
-    for m in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    closed = quiet(page, tokens)
+    for m in tokens:
+        if m.start() < at:
+            continue
         if m.start() > at:
             read(page[at : m.start()])
-        at = m.end()
+        at = closed.get(m.start(), m.end())
         name = m.group(3)
         if name is None:
             continue
@@ -102,6 +132,8 @@ def blocks(page: str) -> list[Block]:
                         del stack[k:]
                         break
                 continue
+            while stack and stack[-1][0] in ("option", "optgroup") and name not in ("option", "optgroup"):
+                stack.pop()
             if stack and (stack[-1][0] == "p" or stack[-1][0] == name and name in _SELF):
                 stack.pop()
             if name in _VOID:

@@ -184,3 +184,17 @@ def test_pipeline(spark, tmp_path):
     assert ids - clean == {1003}
     assert {r.doc_id for r in out.collect()} == clean and out.filter("copies > 3").count() == 0
     assert corpus_pipeline.run(spark, str(tmp_path)).agg(F.sum("taken")).first()[0] == out.agg(F.sum("taken")).first()[0]
+
+
+@pytest.mark.parametrize("odd", ['<svg width="1"/>', "<video src=x>", "<audio>", "<object data=x>", "<canvas>", "<select><option>o", "<div><video></div>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<video>no</video>", "<math/>"])
+def test_unclosed_elements_drop_no_article(odd):
+    article = "<article><p>The first sentence, of some length, stands here.</p>{}<p>The second one, of some length, stands here.</p></article>"
+    text = "The first sentence, of some length, stands here. The second one, of some length, stands here."
+    assert html.main_text(odd + article.format("")).split() == text.split()
+    assert html.main_text(article.format("") + odd + "<footer>no</footer>").split() == text.split()
+    assert html.main_text(odd + article.format("") + "<video>no</video>").split() == text.split()
+
+
+def test_formulas_are_text():
+    page = "<article><p>It holds, as said, that <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> here.</p></article>"
+    assert html.main_text(page) == "It holds, as said, that x=1 here."
