@@ -23,6 +23,8 @@ from facetlake.llm.textkit import STEP, Words
 
 #: Words of a source's remainder that dynamic programming fills.
 WINDOW = 1 << 16
+#: Most bytes of the states of a programme over the whole remainder, tried where that of the window falls short.
+STATES = 64 << 20
 #: Parts by hash in which the documents of one length are counted, so that no task holds them all.
 PARTS = 64
 
@@ -64,31 +66,12 @@ def targets(by_source: list[tuple[str | None, int]], weights: tuple[float, ...],
     return out
 
 
-def subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their sizes sum to the budget, or as near below it as found."""
-    total = int((lengths * counts).sum())
-    budget = min(budget, total)
-    taken = np.minimum(counts, (counts.astype(object) * budget // max(total, 1)).astype(np.int64))
-    order = np.argsort(-lengths, kind="stable")
-    left = budget - int((taken * lengths).sum())
-    for i in order:  # long ones first, down to what the programme below handles
-        if left <= WINDOW:
-            break
-        n = min(int(counts[i] - taken[i]), (left - WINDOW // 2) // int(lengths[i]))
-        if n > 0:
-            taken[i] += n
-            left -= n * int(lengths[i])
-    for i in order:
-        if left <= WINDOW:
-            break
-        n = min(int(counts[i] - taken[i]), left // int(lengths[i]))
-        taken[i] += n
-        left -= n * int(lengths[i])
-    if left <= 0 or left > WINDOW:
-        return taken
+def programme(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, left: int) -> np.ndarray:
+    """taken and more documents, whose sizes sum to `left` or as near below it as any do."""
+    taken = taken.copy()
     limit = (1 << (left + 1)) - 1
     reach, steps = 1, []
-    usable = [i for i in order[::-1] if 0 < lengths[i] <= left and counts[i] > taken[i]]
+    usable = [i for i in np.argsort(-lengths, kind="stable")[::-1] if 0 < lengths[i] <= left and counts[i] > taken[i]]
     for i in sorted(usable, key=lambda i: (-int(counts[i] - taken[i]), int(lengths[i]))):
         spare = min(int(counts[i] - taken[i]), left // int(lengths[i]))
         step = 1
@@ -108,11 +91,46 @@ def subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return taken
 
 
+def subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each length to take so that their sizes sum to the budget, or as near below it as found.
+
+    A part of each length, in proportion, is fixed; of the rest, the best is found by one programme where it is
+    no more than WINDOW, or where its states fit STATES, as those of few long documents do. Else long documents
+    are chosen first, and less than the shortest document not taken is missing.
+    """
+    total = int((lengths * counts).sum())
+    budget = min(budget, total)
+    taken = np.minimum(counts, (counts.astype(object) * budget // max(total, 1)).astype(np.int64))
+    order = np.argsort(-lengths, kind="stable")
+    left = rest = budget - int((taken * lengths).sum())
+    base = taken.copy()
+    for i in order:  # long ones first, down to what the programme below handles
+        if left <= WINDOW:
+            break
+        n = min(int(counts[i] - taken[i]), (left - WINDOW // 2) // int(lengths[i]))
+        if n > 0:
+            taken[i] += n
+            left -= n * int(lengths[i])
+    for i in order:
+        if left <= WINDOW:
+            break
+        n = min(int(counts[i] - taken[i]), left // int(lengths[i]))
+        taken[i] += n
+        left -= n * int(lengths[i])
+    if 0 < left <= WINDOW:
+        taken = programme(lengths, counts, taken, left)
+    if rest > WINDOW and int((taken * lengths).sum()) < budget:
+        spare = np.minimum(counts - base, rest // np.maximum(lengths, 1))
+        if sum(int(n).bit_length() for n in spare) * rest // 8 <= STATES:
+            taken = programme(lengths, counts, base, rest)
+    return taken
+
+
 def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: int = 3, seed: int = 17) -> DataFrame:
     """A row for each row of docs (doc_id, source, text): doc_id, size, source_size, target, copies, taken.
 
     copies: how often the mix holds the document, 0 to `most`; taken: copies times size. The words
-    taken of a source are its target, rounded, or as near below as a subset of its sizes comes.
+    taken of a source are its target, rounded, or as near below as subset() comes.
     The same seed gives the same mix. Nulls: a null source is a source of its own, a null text has
     size 0; documents of size 0 are never taken. Repeated rows are documents of their own, though
     equal rows may swap places. Other columns are ignored; an empty table gives an empty one.

@@ -183,3 +183,17 @@ def test_lm_scores_blocks_that_a_scan_splits(spark, monkeypatch):
     monkeypatch.setattr(lm, "blocked", lambda docs, f=lm.blocked: f(docs).repartition(7).sortWithinPartitions("block", "row"))
     got = {r.doc_id: tuple(r) for r in lm.cross_entropy_difference(df, target).collect()}
     assert len(got) == 300 and all(np.allclose(got[i], whole[i]) for i in whole)
+
+
+def test_subset_sum_of_few_long_documents():
+    assert mixing.subset(np.array([99_000, 101_000, 150_000]), np.array([1, 1, 1]), 200_000).tolist() == [1, 1, 0]
+    rng = random.Random(9)
+    for _ in range(30):
+        lengths = np.array(sorted(rng.sample(range(40_000, 200_000), rng.randint(2, 7))))
+        counts = np.array([rng.randint(1, 2) for _ in lengths])
+        whole = int((lengths * counts).sum())
+        budget = rng.randint(whole // 3, whole)
+        base = counts * budget // whole
+        got = mixing.subset(lengths, counts, budget)
+        assert (got >= base).all() and (got <= counts).all()
+        assert int((got * lengths).sum()) == max(r for r in _reach(lengths, counts - base, int((base * lengths).sum())) if r <= budget)
