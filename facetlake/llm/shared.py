@@ -19,25 +19,52 @@ BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
 
 def bounded(spark: SparkSession) -> None:
-    """Let the session hand Python batches of BATCH_ROWS rows and about BATCH_BYTES at most."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    """See that the session hands Python batches of BATCH_ROWS rows and about BATCH_BYTES at most; lower bounds stay.
+
+    Plans read these settings when they run, which may be long after an operator returned, so they are not set back.
+    """
+    for name, most in (("Records", BATCH_ROWS), ("Bytes", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.max{name}PerBatch"
+        now = spark.conf.get(name)
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, most)
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that all executors share, spark.checkpoint.dir.
+
+    Where that is unset, a local session, whose executors are this machine, takes a folder of its own; on a cluster
+    there is no such folder, and an error says so.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    return path or f"file://{tempfile.gettempdir()}/facetlake-scratch"
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"file://{tempfile.gettempdir()}/facetlake-scratch"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of df from a Parquet table in the shared folder, so that no later job computes them again."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """An array's bytes behind their number, compressed where there are enough of them."""
+    data = x.tobytes()
+    head = len(data).to_bytes(8, "little")
+    return head + (pa.Codec("zstd", 1).compress(data, asbytes=True) if len(data) > 128 else data)
+
+
+def expanded(data: bytes, dtype) -> np.ndarray:
+    """The array of squeezed()."""
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size > 128 else data[8:], dtype)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete a table that written() made and nothing reads any more."""
     spark = df.sparkSession

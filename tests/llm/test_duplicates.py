@@ -171,6 +171,47 @@ def test_suffix_removal(spark, monkeypatch, length, hot):
     assert {r.doc_id: tuple(r)[1:] for r in suffix.digest(df, length).collect()} == brute_removal(rows, length)
 
 
+@pytest.mark.parametrize("hot", [1, 20_000])
+def test_suffix_removal_over_many_blocks(spark, monkeypatch, hot):
+    for name, value in {"HOT": hot, "BLOCK": 2000, "GROUP": 5000, "BUNDLE": 700, "SHARD": 400, "FAN": 2, "BLOCKS": 1}.items():
+        monkeypatch.setattr(suffix, name, value)
+    rows = list(enumerate(passage_docs(7)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: tuple(r)[1:] for r in suffix.digest(df, 40).collect()} == brute_removal(rows, 40)
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    rng = random.Random(12)
+    texts = [bytes(rng.choice(b"abc") for _ in range(n)) for n in (5, 4000, 0, 90, 2500, 40)]
+    raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = np.concatenate(list(suffix.rounds(raw, offsets, 20)))
+    monkeypatch.setattr(suffix, "STEP", 300)
+    monkeypatch.setattr(suffix, "ROUND", 1000)
+    parts = list(suffix.rounds(raw, offsets, 20))
+    assert len(parts) > 3
+
+    def strings(found):
+        return sorted((int(r["row"]), int(r["lo"]) + k, int(r["fp"]), int(r["lo"]) + int(r["at"])) for r in found for k in range(int(r["more"]) + 1))
+
+    assert strings(np.concatenate(parts)) == strings(whole)
+    assert [x[:2] for x in strings(whole)] == [(i, k) for i, t in enumerate(texts) for k in range(len(t) - 19)]
+
+
+def test_leaders_are_told_by_their_bytes():
+    raw = np.frombuffer(b"abcabcabdabc", np.uint8)
+    start, size = np.array([0, 3, 6, 9]), np.full(4, 3)
+    got = suffix.leaders(raw, start, size, np.zeros(4, np.uint64), np.array([7, 3, 9, 3]), np.array([0, 5, 0, 2]))
+    assert got.tolist() == [False, False, True, True]
+    assert suffix.same_bytes(raw, start[:0], start[:0], size[:0]).tolist() == []
+
+
+def test_length_is_checked(spark):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    for length in (1, 65_001):
+        with pytest.raises(ValueError):
+            suffix.digest(df, length)
+
+
 def test_merged_transforms_against_brute_force():
     rng = random.Random(9)
     for _ in range(25):
