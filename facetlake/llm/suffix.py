@@ -39,7 +39,7 @@ STEP, ROUND, BLOCK, ROW = 1 << 18, 8 << 20, 8 << 20, 64
 #: Blocks to a shard of questions.
 BLOCKS = 4
 #: Bytes of contexts that one group gets on average, of those that are indexed at a time, and of a shard of them.
-GROUP, BUNDLE, SHARD = 6 << 20, 1 << 20, 1 << 18
+GROUP, BUNDLE, SHARD = 6 << 20, 1 << 18, 1 << 16
 #: Contexts that differ, of one anchor and summed over blocks, beyond which its strings are dealt one by one.
 HOT = 8_000
 #: Blocks whose strings of such anchors meet at a time; what is left of them goes on, until one meeting is left.
