@@ -120,6 +120,46 @@ def test_near_vectors_odd(spark):
     assert [r.n_links for r in embeddings.near_vectors(nothing).collect()] == [0, 0]
 
 
+def test_copies_are_joined_as_one(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BIG", 40)
+    rng = np.random.default_rng(8)
+    a, b, c = rng.standard_normal((3, 12))
+    rows = [(i, (a if i % 2 else b if i % 3 else c + 1e-3 * i).tolist()) for i in range(200)] + [(500, (a * 2).tolist()), (501, (-a).tolist())]
+    got = {r.vec_id: tuple(r)[1:] for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)).collect()}
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = x @ x.T >= 0.95
+    np.fill_diagonal(link, False)
+    ids = [i for i, _ in rows]
+    comp = union_find(ids, [(ids[i], ids[j]) for i, j in zip(*np.nonzero(link), strict=True)])
+    assert got == {ids[k]: (int(link[k].sum()), comp[ids[k]], comp[ids[k]] == ids[k]) for k in range(len(ids))}
+
+
+def test_partners_are_all_near_segments(spark):
+    rng = np.random.default_rng(9)
+    lo = rng.uniform(-1, 1, (40, 3))
+    hi = lo + rng.uniform(0, 0.4, (40, 3))
+    boxes = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(lo, hi, strict=True))], "seg long, lo array<double>, hi array<double>")
+    got = {(r.i, r.j) for r in embeddings.partners(boxes, 0.3).collect()}
+    gap = np.maximum(0, np.maximum(lo[:, None] - hi[None], lo[None] - hi[:, None]))
+    want = {(i, j) for i in range(40) for j in range(i, 40) if (gap[i, j] ** 2).sum() <= 0.09}
+    assert got == want and len(want) < 820
+
+
+def test_bounds_hold_and_blocks_are_skipped():
+    rng = np.random.default_rng(10)
+    centres = rng.standard_normal((60, 32))
+    x = centres[rng.integers(0, 60, 3000)] + 0.02 * rng.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    axes = np.linalg.svd(x[:500] - x[:500].mean(axis=0), full_matrices=False)[2][:8].T
+    p = embeddings.placed(x, axes)
+    assert (p[:300] @ p[300:600].T >= x[:300] @ x[300:600].T - 1e-12).all()
+    x = x[np.lexsort(np.floor(x @ axes / np.sqrt(0.1)).T[::-1])]
+    j = embeddings.Joiner(axes, 0.95)
+    n, _, _ = j.join(x, None)
+    assert n.tolist() == ((x @ x.T >= 0.95).sum(axis=1) - 1).tolist() and j.skipped > 0
+
+
 def test_joiner_skips_nothing():
     rng = np.random.default_rng(7)
     x = rng.standard_normal((400, 8))
