@@ -1,9 +1,9 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model is counted over chosen documents, the background model over all. Both are
-bigram models that back off to unigrams, with a count for every distinct word and pair of the
-corpus; grams are told apart by 63-bit hashes, of which two among 10**9 meet with a chance of
-one in twenty.
+bigram models that back off to unigrams, with a count for every distinct word, pair and history of
+the corpus, so that the estimates after each history sum to one over the shared vocabulary; grams
+are told apart by 63-bit hashes, of which two among 10**9 meet with a chance of one in twenty.
 
 Documents are dealt into blocks of text. A block asks for its distinct grams, with its own
 counts of them, in shards by hash; a shard adds up the counts of all blocks and answers each in
@@ -30,29 +30,33 @@ WORDS, BACKOFF = 1 << 18, 50.0
 #: Bytes of a block, each row as ROW more; blocks to a shard.
 BLOCK, ROW, BLOCKS = 8 << 20, 64, 2
 STEP = 1 << 21
-_PAIR = randoms(81, 2) | np.uint64(1)
+_PAIR = randoms(81, 3) | np.uint64(1)
 _ONE = np.uint64(1)
 
 
-def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, word keys (even) and pair keys (odd) of all words; the first word of a row pairs with its start."""
+def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words: rows, word keys (even), pair keys and history keys (odd).
+
+    The first word of a row pairs with its start, whose history is thus the rows with words; the history of a
+    word leaves out where it ends a row, as no word follows there.
+    """
     words = Words(raw, offsets, SPACES)
     h, rows = words.hashes(), words.rows()
     before = np.zeros_like(h)
     before[1:] = h[:-1]
     first = words.first[:-1][words.counts > 0]
     before[first] = 1
-    return rows, h & ~_ONE, mix(before * _PAIR[0] + h * _PAIR[1]) | _ONE
+    return rows, h & ~_ONE, mix(before * _PAIR[0] + h * _PAIR[1]) | _ONE, mix(before * _PAIR[2] + _PAIR[0]) | _ONE
 
 
-def all_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def all_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """grams() of a column of any size, in steps."""
     raw, offsets = string_buffer(texts)
     parts = []
     for a, b in row_blocks(offsets, STEP):
-        rows, word, pair = grams(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-        parts.append((rows + a, word, pair))
-    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        rows, *keys = grams(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        parts.append((rows + a, *keys))
+    none = (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3)
     return tuple(np.concatenate(x) for x in zip(none, *parts, strict=True))
 
 
@@ -101,10 +105,10 @@ def requests(blocks: DataFrame) -> DataFrame:
 
     def request(run: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(run)
-        rows, word, pair = all_grams(t["text"])
+        rows, *grams_ = all_grams(t["text"])
         own = t["target"].to_numpy().astype(bool)[rows]
-        keys, n = distinct(np.concatenate([word, pair]))
-        some, k = distinct(np.concatenate([word[own], pair[own]]))
+        keys, n = distinct(np.concatenate(grams_))
+        some, k = distinct(np.concatenate([x[own] for x in grams_]))
         of = np.zeros(len(keys), np.int64)
         of[np.searchsorted(keys, some)] = k
         cut = np.append(np.searchsorted(keys, starts), len(keys))
@@ -165,7 +169,7 @@ def counts(docs: DataFrame) -> np.ndarray:
 
 
 def losses(word: np.ndarray, seen: np.ndarray, joint: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
-    """Negative log probability of words, from the counts of each, of the one before it and of both."""
+    """Negative log probability of words, from the counts of each, of any word behind the one before it, and of both."""
     p = (word + 1.0) / (total + vocabulary)
     return -np.log((joint + BACKOFF * p) / (seen + BACKOFF))
 
@@ -177,7 +181,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     Losses are means over a document's words, in nats; score is target_loss - background_loss, lower
     for texts more like the target. Nulls: a null or empty text has no word and null losses; null ids are
     in no target. Repeated rows count as often as they stand; repeated target ids count once. Without a
-    target its model is uniform. Other columns are ignored; an empty table gives an empty one.
+    target its model is uniform. A text, however long, is counted and scored whole, in steps. Ties cannot be: nothing
+    is chosen by rank. Other columns are ignored; an empty table gives an empty one.
     """
     own = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = few(target.select(target["doc_id"].cast("long").alias("_id")).dropna()).withColumn("_t", F.lit(True))
@@ -195,18 +200,14 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
         for first in np.unique(firsts):
             asked = known.filter(pa.array(firsts == first))
             some = texts.slice(first - start, asked["rows"][0].as_py())
-            rows, word, pair = all_grams(some["text"])
-            _, at = np.unique(np.concatenate([word, pair]), return_inverse=True)
-            word, pair = at[: len(word)], at[len(word) :]
-            begins = np.ones(len(rows), bool)
-            begins[1:] = rows[1:] != rows[:-1]
+            rows, *grams_ = all_grams(some["text"])
+            word, pair, history = np.split(np.unique(np.concatenate(grams_), return_inverse=True)[1], 3)
             n = np.bincount(rows, minlength=some.num_rows)
             loss = []
             for name, total in zip(("t", "n"), totals, strict=True):
                 table = np.concatenate([unpacked(x) for x in asked[name].to_pylist()])
-                joint, seen = table[pair], np.roll(table[word], 1)
-                seen[begins] = joint[begins]
-                loss.append(np.bincount(rows, losses(table[word], seen, joint, total, vocabulary), some.num_rows) / np.maximum(n, 1))
+                each = losses(table[word], table[history], table[pair], total, vocabulary)
+                loss.append(np.bincount(rows, each, some.num_rows) / np.maximum(n, 1))
             scored = [pa.array(x, pa.float64(), mask=n == 0) for x in (*loss, loss[0] - loss[1])]
             out.append(pa.table([some["doc_id"], pa.array(n, pa.int64()), *scored], names=names))
         return pa.concat_tables(out)

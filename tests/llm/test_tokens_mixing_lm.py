@@ -114,14 +114,16 @@ def test_lm_against_brute_force(spark):
     got = {r.doc_id: r for r in lm.cross_entropy_difference(df, target).collect()}
 
     def model(chosen):
-        uni, bi, n = {}, {}, 0
+        uni, bi, hist = {}, {}, {}
         for i in chosen:
-            before = None
-            for w in spaced(texts[i]):
-                uni[w] = uni.get(w, 0) + 1
-                bi[before, w] = bi.get((before, w), 0) + 1
-                before, n = w, n + 1
-        return uni, bi, n
+            w = spaced(texts[i])
+            for x in w:
+                uni[x] = uni.get(x, 0) + 1
+            for x in zip([None, *w], w):
+                bi[x] = bi.get(x, 0) + 1
+        for (before, _), c in bi.items():
+            hist[before] = hist.get(before, 0) + c
+        return uni, bi, hist
 
     models = model(range(1, 60, 4)), model(range(60))
     for i, t in enumerate(texts):
@@ -131,12 +133,11 @@ def test_lm_against_brute_force(spark):
             assert got[i].score is None
             continue
         loss = []
-        for uni, bi, n in models:
+        for uni, bi, hist in models:
             total, before = 0.0, None
             for x in w:
-                p, c = (uni.get(x, 0) + 1) / (n + lm.WORDS), bi.get((before, x), 0)
-                seen = c if before is None else uni.get(before, 0)
-                total -= np.log((c + lm.BACKOFF * p) / (seen + lm.BACKOFF))
+                p, c = (uni.get(x, 0) + 1) / (sum(uni.values()) + lm.WORDS), bi.get((before, x), 0)
+                total -= np.log((c + lm.BACKOFF * p) / (hist.get(before, 0) + lm.BACKOFF))
                 before = x
             loss.append(total / len(w))
         assert abs(got[i].target_loss - loss[0]) < 1e-6 and abs(got[i].background_loss - loss[1]) < 1e-6
@@ -145,6 +146,24 @@ def test_lm_against_brute_force(spark):
     assert np.mean(odd) < np.mean(even)
 
 
+def test_lm_estimates_after_a_history_sum_to_one(spark):
+    rng = random.Random(16)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))) for _ in range(40)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t) for t in texts)])
+    _, word, pair, hist = lm.grams(raw, offsets)
+    keys, n = lm.distinct(np.concatenate([word, pair, hist]))
+    count = dict(zip(keys.tolist(), n.tolist()))
+    flat = [w for t in texts for w in t.split()]
+    before = [b for t in texts for b in [None, *t.split()][:-1]]
+    uni, total = {w: count[k] for w, k in zip(flat, word.tolist())}, len(flat)
+    for b in {*before}:
+        seen = next(count[k] for x, k in zip(before, hist.tolist()) if x == b)
+        joint = {w: next((count[k] for x, y, k in zip(before, flat, pair.tolist()) if (x, y) == (b, w)), 0) for w in uni}
+        p = [np.exp(-lm.losses(np.array([uni[w]]), np.array([seen]), np.array([joint[w]]), total, len(uni))[0]) for w in uni]
+        assert abs(sum(p) - 1) < 1e-9
+
+
 def test_lm_odd_and_empty(spark):
     df = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id long")
@@ -164,13 +183,13 @@ def test_lm_counts_exactly_beyond_the_least_vocabulary(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     target = spark.createDataFrame([(0,), (1,)], "doc_id long")
     got = {r.doc_id: r for r in lm.cross_entropy_difference(df, target).collect()}
-    uni, bi = {}, {}
+    uni, bi, hist = {}, {}, {}
     for t in texts:
         for b, w in zip([None, *t.split()], t.split()):
-            uni[w], bi[b, w] = uni.get(w, 0) + 1, bi.get((b, w), 0) + 1
-    assert len(uni) > lm.WORDS
+            uni[w], bi[b, w], hist[b] = uni.get(w, 0) + 1, bi.get((b, w), 0) + 1, hist.get(b, 0) + 1
+    assert len(uni) > lm.WORDS and hist[None] == 50
     for i, t in enumerate(texts):
-        p = [((uni[w] + 1) / (sum(uni.values()) + len(uni)), bi[b, w], bi[b, w] if b is None else uni[b]) for b, w in zip([None, *t.split()], t.split())] if i < 3 else []
+        p = [((uni[w] + 1) / (sum(uni.values()) + len(uni)), bi[b, w], hist[b]) for b, w in zip([None, *t.split()], t.split())] if i < 3 else []
         if p:
             assert abs(got[i].background_loss + np.mean([np.log((c + lm.BACKOFF * q) / (n + lm.BACKOFF)) for q, c, n in p])) < 1e-9
 
