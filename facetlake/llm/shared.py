@@ -15,7 +15,7 @@ MAX_BROADCAST = 128 << 20
 
 
 #: Rows and bytes of an Arrow batch: texts may be long, and a batch stands in memory at both ends.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
 def bounded(spark: SparkSession) -> None:

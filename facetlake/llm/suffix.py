@@ -35,9 +35,9 @@ from facetlake.llm.shared import bounded, dropped, expanded, partitions, row_blo
 from facetlake.llm.textkit import CASED, mix, powers, prefix
 
 #: Bytes of text in a vectorised step, in a round of combination inside a block, and in a block; each row counts as ROW more.
-STEP, ROUND, BLOCK, ROW = 1 << 18, 8 << 20, 8 << 20, 64
+STEP, ROUND, BLOCK, ROW = 1 << 18, 4 << 20, 4 << 20, 64
 #: Blocks to a shard of questions.
-BLOCKS = 4
+BLOCKS = 2
 #: Bytes of contexts that one group gets on average, of those that are indexed at a time, and of a shard of them.
 GROUP, BUNDLE, SHARD = 6 << 20, 1 << 18, 1 << 16
 #: Contexts that differ, of one anchor and summed over blocks, beyond which its strings are dealt one by one.
