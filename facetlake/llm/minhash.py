@@ -8,9 +8,10 @@ meet under a key are candidates; candidates within the distance are confirmed on
 their full shingle sets.
 
 Members of a key are not paired with each other. Each is tried against the least of
-them. What those links leave apart, but near, is gathered to families by forests of
-near members, and a family's full sets meet in blocks of bounded size, out of which
-only links between components come.
+them. Where those links leave a key's members apart, those outside its largest
+component meet all its members in blocks of bounded size; near ones are gathered to
+families by forests, whose full sets meet in the same way, and only links between
+components come out. Texts of equal sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.components import Forest, components
-from facetlake.llm.shared import dropped, partitions, row_blocks, string_buffer, text_columns, without, written
+from facetlake.llm.shared import dropped, partitions, row_blocks, salted, string_buffer, text_columns, without, written
 from facetlake.llm.textkit import SPACES, Words, mix, randoms, row_windows
 
 #: Symbols in a chunk, with at most one error; bits of a symbol.
 CHUNK, BITS = 5, 16
 #: Chance that a pair at the threshold lies beyond the signature distance.
-MISS = 5e-4
+MISS = 1e-5
 #: Bytes of text in a step, and members of a key that one task compares with each other.
 SIGN_STEP, BLOCK = 1 << 18, 4096
 #: Members of keys that one task takes, on average, and pairs that it compares at a time.
@@ -115,7 +116,7 @@ def index_keys(signed: DataFrame, m: int) -> DataFrame:
 
 
 def near(pairs: DataFrame, signed: DataFrame, most: int) -> DataFrame:
-    """The distinct pairs (u, v) whose signatures differ in at most `most` symbols."""
+    """(u, v) of those pairs (u, v, a), a the signature of u, from which v's differs in at most `most` symbols."""
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,9 +124,8 @@ def near(pairs: DataFrame, signed: DataFrame, most: int) -> DataFrame:
                 x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for k in (2, 3))
                 yield batch.select([0, 1]).filter(pa.array((x != y).sum(axis=1) <= most))
 
-    a = signed.select(F.col("id").alias("u"), F.col("sig").alias("a"))
     b = signed.select(F.col("id").alias("v"), F.col("sig").alias("b"))
-    return pairs.distinct().join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(within, "u long, v long")
+    return pairs.dropDuplicates(["u", "v"]).join(b, "v").select("u", "v", "a", "b").mapInArrow(within, "u long, v long")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -155,58 +155,86 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) ->
                 keep.append(down * both >= up * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    a, b = (sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "uv")
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(check, "u long, v long")
+    # One document may be the least of very many.
+    sizes = pairs.groupBy("u").agg(F.count("*").alias("n"))
+    pairs, sizes = salted(pairs, written(sizes, "sizes"), ("u",), ("u",), "v", pairs.count())
+    a = sizes.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("su")), "u").drop("n")
+    b = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
+    return pairs.join(a, ["u", "_salt"]).join(b, "v").select("u", "v", "su", "sv").mapInArrow(check, "u long, v long")
 
 
-def blocked(rows: DataFrame, by: str, size: int) -> DataFrame:
-    """rows (`by`, n, id, ...) with the blocks x <= y to meet in: members of a group of n are dealt to blocks of about
-    `size` by hash (own), and each row is sent to every pair of blocks that holds its own."""
-    out = rows.withColumn("s", F.ceil(F.col("n") / size).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("s")).cast("int"))
-    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
-    return out.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("s", "other", "n")
+def meetings(rows: DataFrame, by: str, size: int, name: str) -> tuple[DataFrame, int]:
+    """What is left to compare of groups (by, id, comp), and its number of rows.
 
-
-def close_pairs(ids, group, x, y, own, comp, sig, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places i < j of rows, ordered by (group, x, y), that meet in a block, differ in comp, and are near; in steps."""
-    last = np.append((group[1:] != group[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]), True)
-    ends = np.flatnonzero(last)
-    n = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))  # members behind each in its block
+    Members that belong to the largest component of their group need not meet each other. The others, the few, are
+    dealt to blocks x of about `size` by hash, all members to blocks y, and each of the few meets each member in one
+    pair of blocks: rows (by, x, y, role, few, id, comp), role 0 for a few's own part and 1 for a member's.
+    """
+    counts = rows.groupBy(by, "comp").agg(F.count("*").alias("n"))
+    counts = counts.groupBy(by).agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("comp", F.struct("n", "comp")).alias("main")).filter("top < n")
+    open_ = written(counts.select(by, F.ceil((F.col("n") - F.col("top")) / size).cast("int").alias("xs"), F.ceil(F.col("n") / size).cast("int").alias("ys"), "main", "n", "top"), name)
+    total = open_.agg(F.coalesce(F.sum((F.col("n") - F.col("top")) * F.col("ys") + F.col("n") * F.col("xs")), F.lit(0))).first()[0]
+    at = rows.join(open_, by).withColumn("few", F.col("comp") != F.col("main"))
+
+    def dealt(role: int, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        out = at.filter("few") if role == 0 else at
+        out = out.withColumn(own, F.pmod(F.xxhash64("id"), F.col(own_n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+        return out.select(by, "x", "y", F.lit(role).alias("role"), "few", "id", "comp")
+
+    return dealt(0, "x", "xs", "y", "ys").unionByName(dealt(1, "y", "ys", "x", "xs")), total
+
+
+def close_pairs(group, x, y, role, few, ids, comp, sig, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places i, j of the few and of members, of rows ordered by (group, x, y, role), that meet in a block, differ in comp, and are near; in steps."""
+    if not len(ids):
+        return
+    new = np.append(True, (group[1:] != group[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))
+    start = np.flatnonzero(new)
+    stop = np.append(start[1:], len(ids))
+    split = start + np.add.reduceat(role == 0, start, dtype=np.int64)  # where a block's members begin
+    own = np.flatnonzero(role == 0)
+    block = np.cumsum(new)[own] - 1
+    n = (stop - split)[block]
     until, a = np.cumsum(n), 0
-    while a < len(ids):
+    while a < len(own):
         done = until[a - 1] if a else 0
         b = max(a + 1, int(np.searchsorted(until, done + PAIRS, "right")))
-        i = np.repeat(np.arange(a, b), n[a:b])
-        j = i + 1 + np.arange(len(i)) - np.repeat(until[a:b] - n[a:b] - done, n[a:b])
-        meet = (comp[i] != comp[j]) & ((own[i] != own[j]) | (x[i] == y[i]))
+        i = np.repeat(own[a:b], n[a:b])
+        j = np.arange(len(i)) + np.repeat(split[block[a:b]] - (until[a:b] - n[a:b] - done), n[a:b])
+        # Two of the few meet twice, once in either's part.
+        meet = (comp[i] != comp[j]) & (~few[j] | (ids[i] < ids[j]))
         i, j = i[meet], j[meet]
         near_ = (sig[i] != sig[j]).sum(axis=1) <= most
         yield i[near_], j[near_]
         a = b
 
 
+def ordered(rows: pd.DataFrame, by: str) -> tuple:
+    """The columns that close_pairs() takes, in its order, and that order."""
+    order = np.lexsort(tuple(rows[c].to_numpy() for c in ("id", "role", "y", "x", by)))
+    sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(rows), -1)[order]
+    return *(rows[c].to_numpy()[order] for c in (by, "x", "y", "role", "few", "id", "comp")), sig, order
+
+
 def families(members: DataFrame, links: DataFrame, signed: DataFrame, most: int) -> DataFrame:
     """Forest edges (u, v) over documents that share a key and are near, but in different components so far.
 
-    Each block of a key gives at most as many edges as it has members, whatever the number of near pairs.
+    Each pair of blocks of a key gives at most as many edges as it has members, whatever the number of near pairs.
     """
     comp = components(links)
     at = members.join(comp, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("comp"))
-    open_ = written(at.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "n"), "open")
-    at = blocked(at.join(open_, "key"), "key", BLOCK).join(signed.select("id", "sig"), "id")
+    at, rows = meetings(at, "key", BLOCK, "open")
+    at = at.join(signed.select("id", "sig"), "id")
 
     def connect(rows: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort(tuple(rows[c].to_numpy() for c in ("id", "y", "x", "key")))
-        key, x, y, ids, comp, own = (rows[c].to_numpy()[order] for c in ("key", "x", "y", "id", "comp", "own"))
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(ids), -1)[order]
-        forest, out = Forest(), []
-        for i, j in close_pairs(ids, key, x, y, own, comp, sig, most):
+        *columns, _ = ordered(rows, "key")
+        ids, forest, out = columns[5], Forest(), []
+        for i, j in close_pairs(*columns, most):
             pairs = np.unique(np.stack([ids[i], ids[j]], axis=1), axis=0)
             out += [p for p in pairs.tolist() if forest.join(*p)]
         return pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
 
     # A task takes many keys at once; one pair of blocks never has more than about 2 * BLOCK rows.
-    rows = open_.agg(F.coalesce(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK)), F.lit(0))).first()[0]
     tasks = max(partitions(members), -(-rows // ROWS))
     return at.groupBy(F.pmod(F.xxhash64("key", "x", "y"), F.lit(tasks)).alias("task")).applyInPandas(connect, "u long, v long")
 
@@ -219,22 +247,18 @@ def family_links(family: DataFrame, links: DataFrame, signed: DataFrame, sets: D
     """
     comp = components(links)
     at = family.join(comp, "id", "left").select("family", "id", F.coalesce("component_id", "id").alias("comp"))
-    size = at.groupBy("family").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("family", "n")
-    at = written(at.join(size, "family"), "family")
-    rows = at.agg(F.coalesce(F.sum(F.ceil(F.col("n") / FAMILY)), F.lit(0))).first()[0]
+    at, rows = meetings(at, "family", FAMILY, "family")
     tasks = max(partitions(family), -(-rows // FAMILY))
-    at = blocked(at, "family", FAMILY).join(signed.select("id", "sig"), "id").join(sets, "id")
+    at = at.join(signed.select("id", "sig"), "id").join(sets, "id")
     up, down = threshold
 
     def link(rows: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort(tuple(rows[c].to_numpy() for c in ("id", "y", "x", "family")))
-        group, x, y, ids, comp, own = (rows[c].to_numpy()[order] for c in ("family", "x", "y", "id", "comp", "own"))
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(len(ids), -1)[order]
-        packed = rows["shingles"].to_numpy()[order]
-        full = [np.frombuffer(s, np.uint64) for s in packed]
+        *columns, order = ordered(rows, "family")
+        ids, comp = columns[5:7]
+        full = [np.frombuffer(s, np.uint64) for s in rows["shingles"].to_numpy()[order]]
         n = np.array([len(s) for s in full])
         forest, out = Forest(), []
-        for i, j in close_pairs(ids, group, x, y, own, comp, sig, most):
+        for i, j in close_pairs(*columns, most):
             fits = (down * np.minimum(n[i], n[j]) >= up * np.maximum(n[i], n[j]))
             i, j = i[fits], j[fits]
             cuts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else np.zeros(0, np.int64)
@@ -262,7 +286,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     links reach, kept marks its document. Pairs whose signatures differ in more than 2m - 1 symbols, one
     in 1 / MISS at the threshold and fewer above, may stay apart; none below the threshold links.
     Nulls: a null or empty text has no shingles and links with nothing; a null doc_id stays null and
-    unlinked, kept. Rows that repeat a doc_id share one result; if their texts differ, the least of
+    unlinked, kept. Long texts are signed and compared whole. Ties cannot be: ids name components. Rows that repeat a doc_id share one result; if their texts differ, the least of
     them by code point stands for the document in links. Other columns are ignored; an empty table gives an empty one.
     """
     m = chunks(threshold[0] / threshold[1])
@@ -272,33 +296,36 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
     if full.groupBy("doc_id").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b").limit(1).count():
         single = near_duplicates(own.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")), size, threshold)
         return digest.select("doc_id", "n_shingles").join(single.drop("n_shingles"), "doc_id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
-    classes = full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"))
-    signed = written(classes.select("id", "sig"), "signed")
+    classes = written(full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.count("*").alias("n")), "classes")
+    signed = classes.select("id", "sig")
     keys = written(index_keys(signed, m), "keys")
-    met = keys.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    members = written(keys.join(met.select("key", "least"), "key"), "members")
+    met = keys.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1").select("key", "least")
+    members = written(keys.join(met, "key"), "members")
     dropped(keys)
-    tried = written(near(members.filter("id <> least").select(F.col("least").alias("u"), F.col("id").alias("v")), signed, 2 * m - 1), "tried")
+    # The least of a key brings its signature along, so that no join gathers all its partners.
+    heads = members.filter("id = least").select("key", "least").join(signed.select(F.col("id").alias("least"), F.col("sig").alias("a")), "least")
+    tried = members.filter("id <> least").join(heads.select("key", "a"), "key").select(F.col("least").alias("u"), F.col("id").alias("v"), "a")
+    tried = written(near(tried, signed, 2 * m - 1), "tried")
     texts = own.dropDuplicates(["doc_id"]) if full.groupBy("doc_id").count().filter("count > 1").limit(1).count() else own
     sets = full_sets(texts, tried.select(F.col("u").alias("id")).union(tried.select("v")).distinct(), size)
     links = written(confirmed(tried, sets, threshold), "links")
     forest = written(families(members.select("key", "id"), links, signed, 2 * m - 1), "families")
-    dropped(members)
-    held = [sets]
+    held = [members, tried, sets]
     if forest.limit(1).count():
         family = components(forest)
         heads = family.select(F.col("component_id").alias("id"), F.col("component_id").alias("family")).distinct()
         family = written(family.select("id", F.col("component_id").alias("family")).unionByName(heads), "members")
         late = family.join(sets.select("id"), "id", "left_anti").select("id")
-        held.append(full_sets(texts, late, size))
-        more = family_links(family, links, signed, sets.unionByName(held[1]), 2 * m - 1, threshold)
+        held += [full_sets(texts, late, size), family]
+        more = family_links(family, links, signed, sets.unionByName(held[3]), 2 * m - 1, threshold)
         links = links.unionByName(written(more, "more"))
+    # Copies have the component of their class, and find it by the hashes of their sets.
+    comp = components(links).withColumnRenamed("id", "_id")
     for table in held:
         dropped(table)
-    # Copies link with the least of their class, so that classes and links make the components.
-    copies = full.join(classes.select("h1", "h2", "n_shingles", "id"), ["h1", "h2", "n_shingles"]).select(F.col("doc_id").alias("u"), F.col("id").alias("v"))
-    comp = components(links.unionByName(copies)).withColumnRenamed("id", "_id")
-    out = digest.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("_id"), "left")
+    found = classes.join(comp, F.col("id") == F.col("_id"), "left").select(F.col("h1").alias("_h"), F.col("h2").alias("_i"), F.col("n_shingles").alias("_k"), "n", F.coalesce("component_id", "id").alias("component_id"))
+    rows, found = salted(digest.drop("sig"), written(found, "found"), ("h1", "h2", "n_shingles"), ("_h", "_i", "_k"), "doc_id", digest.count())
+    out = rows.join(found, (F.col("h1") == F.col("_h")) & (F.col("h2") == F.col("_i")) & (F.col("n_shingles") == F.col("_k")) & (rows["_salt"] == found["_salt"]) & F.col("doc_id").isNotNull(), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

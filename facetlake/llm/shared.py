@@ -90,6 +90,28 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
 
 
+#: Rows of one key beyond which they are spread over several tasks; and how many such keys there may be, so that their list can be broadcast.
+BIG, MOST_BIG = 10_000, 50_000
+
+
+def big(total: int) -> int:
+    """Rows that make a key a big one: no more than MOST_BIG keys can have so many of all rows."""
+    return max(BIG, total // MOST_BIG)
+
+
+def salted(rows: DataFrame, sizes: DataFrame, keys: tuple[str, ...], names: tuple[str, ...], by: str, total: int) -> tuple[DataFrame, DataFrame]:
+    """rows, and sizes with n, the number of rows of each key, with a column _salt to join on beside the key.
+
+    Key columns are `keys` in rows and `names` in sizes. Rows of a big key are dealt by a hash of `by` to parts of
+    their own, and its row of sizes stands in each.
+    """
+    parts = F.ceil(F.col("n") / big(total)).cast("int")
+    heavy = sizes.filter(F.col("n") > big(total)).select(*[F.col(n).alias(f"_big{i}") for i, n in enumerate(names)], parts.alias("_parts"))
+    on = [F.col(k) == F.col(f"_big{i}") for i, k in enumerate(keys)]
+    rows = rows.join(F.broadcast(heavy), on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")), F.lit(0)))
+    return rows.drop("_parts", *[f"_big{i}" for i in range(len(keys))]), sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+
+
 def partitions(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -54,6 +54,47 @@ def test_near_duplicates(spark, monkeypatch, block, size, threshold):
     assert got == {i: (len(sets[i]), comp[i], comp[i] == i) for i in sets}
 
 
+def test_big_groups_are_spread(spark, monkeypatch):
+    """One text very often, one hub of near texts, and components of it, all beyond the bound of a big key."""
+    monkeypatch.setattr(importlib.import_module("facetlake.llm.shared"), "BIG", 5)
+    monkeypatch.setattr(importlib.import_module("facetlake.llm.components"), "SMALL", 0)
+    rng = random.Random(21)
+    base = words(rng, 120)
+    docs = ["copy of one text, very often"] * 40
+    for _ in range(60):
+        x = list(base)
+        x[rng.randrange(len(x))] = "changed" + str(rng.randrange(10**6))
+        docs.append(" ".join(x))
+    docs += [" ".join(words(rng, 30)) for _ in range(20)]
+    rows = list(enumerate(docs))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = {i: shingles(t, 5) for i, t in rows}
+    comp = union_find(sets, jaccard_links(sets, 4, 5))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    assert got == comp and len(set(comp.values())) == 22
+
+
+def test_meetings_bring_the_few_to_all(spark):
+    rng = random.Random(22)
+    rows = [(g, 100 * g + i, 0 if rng.random() < 0.8 else rng.randint(1, 3)) for g in range(6) for i in range(rng.randint(1, 40))]
+    df = spark.createDataFrame(rows, "g long, id long, comp long")
+    met, total = minhash.meetings(df, "g", 7, "test")
+    got = met.toPandas()
+    assert len(got) == total
+    pairs = {}
+    for _, block in got.groupby(["g", "x", "y"]):
+        assert len(block) < 60
+        block = block.sort_values(["role", "id"])
+        sig = np.zeros((len(block), 4), np.uint16)
+        cols = [block[c].to_numpy() for c in ("g", "x", "y", "role", "few", "id", "comp")]
+        for i, j in minhash.close_pairs(*cols, sig, 2):
+            for a, b in zip(cols[5][i].tolist(), cols[5][j].tolist()):
+                pairs[min(a, b), max(a, b)] = pairs.get((min(a, b), max(a, b)), 0) + 1
+    want = {(i, j): 1 for g, i, c in rows for h, j, d in rows if g == h and i < j and c != d}
+    assert pairs == want
+
+
 def test_near_duplicates_odd(spark):
     df = odd_docs(spark)
     out = minhash.near_duplicates(df).collect()
