@@ -1,16 +1,20 @@
 """From documents to a training mix, in stages; each stage's rows are written and read again by the next.
 
-Nulls, empty and long texts, ties, repeated rows and empty tables go through as the operators of
-the stages say. Every stage but the last returns the columns of documents; the last returns, for
-each document that is left, how often the mix takes it.
+Every stage but the last returns the columns of documents; the last returns, for each document that is
+left, how often the mix takes it. Empty tables give empty ones; other columns, whatever their names, go
+along. Texts are judged whole, however long. Rows that repeat an id, or have none, are judged row by row
+by all stages but suffix_dedup, which searches one text for each id and none without; as minhash_dedup
+leaves one row of each group, equal rows do not come so far. Ties go as the operators of the stages say.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from facetlake.llm import decontaminate, minhash, mixing, quality, suffix
-from facetlake.llm.shared import written
+from facetlake.llm.shared import dropped, kept
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +56,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows for the documents of sf_dir; each stage's table, and what it wrote on the way, goes when the next one stands."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = kept(spark, partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            dropped(before)
+        before = docs
     return docs

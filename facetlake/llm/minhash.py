@@ -331,5 +331,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: tuple[int, int] =
 
 
 def deduplicated(docs: DataFrame, size: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
-    """The rows of docs, with all their columns, that near_duplicates() keeps; those of a null doc_id stay."""
-    return without(docs, near_duplicates(docs, size, threshold).filter("not kept").select(F.col("doc_id").alias("_gone")))
+    """The rows of docs, with all their columns, that near_duplicates() keeps.
+
+    Where rows repeat an id, or have none, each row is a document of its own: of a group the row of least id stays,
+    those without id behind all others, and of several rows of one id any one. A text without words stays.
+    """
+    ids = docs.select(docs["doc_id"].cast("long").alias("id"))
+    if not ids.groupBy("id").count().filter("count > 1 or id is null").limit(1).count():
+        return without(docs, near_duplicates(docs, size, threshold).filter("not kept").select(F.col("doc_id").alias("_gone")))
+    rows = written(docs.withColumn("_deduplicated_row", F.monotonically_increasing_id()), "rows")
+    own = rows.select(F.col("_deduplicated_row").alias("row"), rows["doc_id"].cast("long").alias("id"))
+    found = near_duplicates(rows.select(F.col("_deduplicated_row").alias("doc_id"), "text"), size, threshold).select("doc_id", "component_id")
+    found = found.join(own, F.col("doc_id") == F.col("row"))
+    stays = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("least")).select(F.col("least.row").alias("_stays"))
+    return rows.join(stays, F.col("_deduplicated_row") == F.col("_stays"), "left_semi").drop("_deduplicated_row")

@@ -25,8 +25,10 @@ from facetlake.llm.textkit import STEP, Words
 WINDOW = 1 << 16
 #: Most bytes of the states of a programme over the whole remainder, tried where that of the window falls short.
 STATES = 64 << 20
-#: Parts by hash in which the documents of one length are counted, so that no task holds them all.
-PARTS = 64
+#: Parts by hash in which the documents of one length are counted, and rows to a part, so that no task holds or sorts them all.
+PARTS, PART_ROWS = 64, 1 << 20
+#: Sources up to which the table of targets is broadcast, about 100 bytes each; of more it is joined. The mix is the same.
+FEW_SOURCES = 100_000
 
 
 def sizes(docs: DataFrame, *keep: str) -> DataFrame:
@@ -62,7 +64,8 @@ def targets(by_source: list[tuple[str | None, int]], weights: tuple[float, ...],
             break
         out |= {s: top[s] for s in full}
         left -= sum(top[s] for s in full)
-        free = [s for s in free if s not in set(full)]
+        gone = set(full)
+        free = [s for s in free if s not in gone]
     return out
 
 
@@ -132,12 +135,13 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: floa
     copies: how often the mix holds the document, 0 to `most`; taken: copies times size. The words
     taken of a source are its target, rounded, or as near below as subset() comes.
     The same seed gives the same mix. Nulls: a null source is a source of its own, a null text has
-    size 0; documents of size 0 are never taken. Repeated rows are documents of their own, though
-    equal rows may swap places. Other columns are ignored; an empty table gives an empty one.
+    size 0; documents of size 0 are never taken. A long text counts whole. Documents of one length that tie in the
+    hash go by doc_id. Repeated rows are documents of their own, though equal rows may swap places. Other columns are ignored; an empty table gives an empty one.
     """
     # Equal rows of one id differ only in which of them is taken; their order is no part of the result.
     sized = written(sizes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), docs["text"]), "doc_id", "source"), "sizes")
-    sized = sized.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(PARTS)).cast("int"))
+    parts = max(PARTS, sized.count() // PART_ROWS)
+    sized = sized.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(parts)).cast("int"))
     counts = written(sized.groupBy("source", "size", "part").agg(F.count("*").alias("n")), "counts")
     by_source = [(x[0], x[1]) for x in counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n"))).collect()]
     goal = targets(by_source, tuple(weights), share, most)
@@ -158,7 +162,7 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: floa
 
     # One group is the distinct lengths of one source, never its documents.
     lengths = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    lengths = lengths.join(F.broadcast(plan) if len(goal) < 100_000 else plan, lengths["source"].eqNullSafe(plan["source"])).select(lengths["source"], "size", "n", "source_size", "target")
+    lengths = lengths.join(F.broadcast(plan) if len(goal) <= FEW_SOURCES else plan, lengths["source"].eqNullSafe(plan["source"])).select(lengths["source"], "size", "n", "source_size", "target")
     chosen = lengths.groupBy("source").applyInPandas(fill, "source string, size long, whole long, extra long")
     chosen = written(chosen, "chosen").withColumnRenamed("source", "s").withColumnRenamed("size", "z")
 
@@ -174,5 +178,5 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: floa
     clear = joined.filter(~split).withColumn("more", F.when(F.col("room") > 0, 1).otherwise(0))
     by_hash = Window.partitionBy("source", "size").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id")
     ended = joined.filter(split).withColumn("more", (F.row_number().over(by_hash) <= F.col("room")).cast("int"))
-    out = clear.unionByName(ended).join(F.broadcast(plan) if len(goal) < 100_000 else plan, joined["source"].eqNullSafe(plan["source"])).select("doc_id", joined["source"], "size", "source_size", "target", (F.col("whole") + F.col("more")).alias("copies"))
+    out = clear.unionByName(ended).join(F.broadcast(plan) if len(goal) <= FEW_SOURCES else plan, joined["source"].eqNullSafe(plan["source"])).select("doc_id", joined["source"], "size", "source_size", "target", (F.col("whole") + F.col("more")).alias("copies"))
     return out.withColumn("taken", F.col("copies") * F.col("size"))

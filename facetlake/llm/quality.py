@@ -37,7 +37,7 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-_SLOT = (mix(np.arange(1 << 24, dtype=np.uint64)[: 128 * 128 * 128] + randoms(51, 1)[0]) % np.uint64(TRIGRAMS)).astype(np.int16)
+_SLOT = (mix(np.arange(128 * 128 * 128, dtype=np.uint64) + randoms(51, 1)[0]) % np.uint64(TRIGRAMS)).astype(np.int16)
 
 
 def term_counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -93,17 +93,25 @@ class Space:
         near = self.latent(term_counts(raw, offsets)) @ self.vectors.T
         k = min(NEIGHBOURS, near.shape[1])
         best = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(near, best, axis=1), 0).astype(np.float64) ** POWER
-        total = weight.sum(axis=1)
-        return np.where(total > 1e-9, (weight * self.labels[best]).sum(axis=1) / np.maximum(total, 1e-9), self.prior)
+        similarity = np.take_along_axis(near, best, axis=1)
+        weight = np.maximum(similarity, 0).astype(np.float64) ** POWER
+        total, votes = weight.sum(axis=1), (weight * self.labels[best]).sum(axis=1)
+        # Where documents tie for the last places, all of them share those.
+        least = similarity.min(axis=1, keepdims=True)
+        for r in np.flatnonzero((near == least).sum(axis=1) > (similarity == least).sum(axis=1)):
+            tied = near[r] == least[r]
+            places, one = (similarity[r] == least[r]).sum(), max(float(least[r, 0]), 0.0) ** POWER
+            sure = similarity[r] > least[r]
+            votes[r] = (weight[r] * self.labels[best[r]])[sure].sum() + one * places * self.labels[tied].mean()
+        return np.where(total > 1e-9, votes / np.maximum(total, 1e-9), self.prior)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int, seed: int) -> DataFrame:
-    """doc_id, text and label of at most `sample` labelled documents, the first by a seeded hash of doc_id."""
+    """doc_id, text and label of at most `sample` labelled documents, the first by a seeded hash of doc_id; of repeated ids the least text."""
     own = labels.select(labels["doc_id"].cast("long").alias("_id"), labels[label].cast("int").alias("label")).dropna()
     own = own.groupBy("_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(sample)
     texts = text_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(own), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    return texts.join(F.broadcast(own), F.col("doc_id") == F.col("_id")).groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE, seed: int = 5) -> Space:
@@ -132,8 +140,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", s
     score: the similarity-weighted share of label 1 among the nearest labelled documents; a text without
     terms, or near to none, has the share of label 1 in the sample, and 0.5 without any label.
     Nulls: a null text counts as empty, null labels and ids are not learnt from, a null doc_id stays null.
-    Of contradicting labels of a document the least holds. Repeated rows each give a row; other columns
-    are ignored; an empty table gives an empty one.
+    Of contradicting labels of a document the least holds, and of repeated rows of a labelled one the least text. Labelled
+    documents that tie for the last place of the nearest share it. A text, however long, counts whole. Repeated rows each
+    give a row; other columns are ignored; an empty table gives an empty one.
     """
     known = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, label, sample))
 

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most bytes that an operator broadcasts in one piece.
-MAX_BROADCAST = 128 << 20
-
-
 #: Rows and bytes of an Arrow batch: texts may be long, and a batch stands in memory at both ends.
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
@@ -48,6 +45,8 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of df from a Parquet table in the shared folder, so that no later job computes them again."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -65,13 +64,33 @@ def expanded(data: bytes, dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True) if size > 128 else data[8:], dtype)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete a table that written() made and nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark._jvm
     for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(df.sparkSession, file.rsplit("/", 1)[0])
+
+
+#: Folders that written() made, of each kept() that is under way, the innermost last.
+_MADE: list[list[str]] = []
+
+
+def kept(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows of make(), written; the tables that were written on the way there are deleted, also after a failure."""
+    _MADE.append([])
+    try:
+        out = written(make(), name)
+        own = _MADE[-1].pop()
+    finally:
+        for folder in _MADE.pop():
+            _delete(spark, folder)
+    if _MADE:
+        _MADE[-1].append(own)
+    return out
 
 
 #: Ids, at most, that a join broadcasts (about 24 bytes each); more are shuffled.

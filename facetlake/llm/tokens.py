@@ -15,7 +15,6 @@ from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-import public_tokenizers
 from pyspark.sql import DataFrame
 
 from facetlake.llm.shared import text_columns
@@ -40,12 +39,12 @@ def cut(text: str, at: int) -> list[str]:
 
 
 def balanced(texts: list[str], size: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """The texts in batches of about `size` characters."""
+    """The texts in batches of about `size` bytes."""
     batch: list[str] = []
     held = 0
     for text in texts:
         batch.append(text)
-        held += len(text)
+        held += len(text) if text.isascii() else len(text.encode())
         if held >= size:
             yield batch
             batch, held = [], 0
@@ -104,9 +103,12 @@ def counter(path: str) -> Counter:
 def token_counts(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: int = 2048) -> DataFrame:
     """A row for each row of docs (doc_id, text): doc_id, n_bytes, n_tokens, over_limit.
 
-    Nulls: a null text counts as an empty one, with no token; a null doc_id stays null.
+    Nulls: a null text counts as an empty one, with no token; a null doc_id stays null. A long text is cut where no
+    token can run across, and counted whole; nothing depends on order, so there are no ties.
     Repeated rows each give a row; other columns are ignored; an empty table gives an empty one.
     """
+    import public_tokenizers
+
     path = public_tokenizers.path(tokenizer)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

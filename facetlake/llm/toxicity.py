@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetlake.llm.quality import labelled_sample
-from facetlake.llm.shared import row_blocks, string_buffer, text_columns
+from facetlake.llm.shared import dropped, row_blocks, string_buffer, text_columns, written
 from facetlake.llm.textkit import MARKS, Words, mix, randoms
 
 #: Labelled rows, at most, from which is learnt; the choice follows a seeded hash of doc_id.
 SAMPLE = 8000
+#: Bytes of their features, at most, 4 for each that a document has; beyond, the first documents by that hash stay.
+SAMPLE_BYTES = 96 << 20
 #: Hashed features; rate, its offset, and the two penalties; passes over the sample.
 BITS, ALPHA, BETA, L1, L2, EPOCHS = 20, 3.0, 1.0, 6.0, 0.0, 4
 #: Bytes of a word that stand for its stem.
@@ -87,8 +89,12 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE,
                 f = (each & ((1 << BITS) - 1)).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array([f[s:e].tobytes() for s, e in zip(ends, ends[1:], strict=False)], pa.binary())], ["doc_id", "label", "x"])
 
-    rows = labelled_sample(docs, labels, label, sample, seed).mapInArrow(extract, "doc_id long, label int, x binary").collect()
-    rows = sorted({(r[0], r[1], bytes(r[2])) for r in rows})[:sample]
+    found = written(labelled_sample(docs, labels, label, sample, seed).mapInArrow(extract, "doc_id long, label int, x binary").withColumn("h", F.xxhash64(F.lit(seed), "doc_id")), "features")
+    sizes = sorted(map(tuple, found.select("h", F.octet_length("x")).collect()))
+    fits = np.searchsorted(np.cumsum([n for _, n in sizes]), SAMPLE_BYTES, "right")
+    rows = found.filter(F.col("h") <= sizes[fits - 1][0]).collect() if fits else []
+    dropped(found)
+    rows = sorted((r[0], r[1], bytes(r[2])) for r in rows)
     return Model([np.frombuffer(x, np.uint32).astype(np.int64) for _, _, x in rows], np.array([y for _, y, _ in rows], np.float64))
 
 
@@ -99,8 +105,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label: str = "toxic", sa
     score: the probability of label 1; a text without known features has that of the bias alone. A feature
     counts once in a text, however often it stands there.
     Nulls: a null text counts as empty, null labels and ids are not learnt from, a null doc_id stays null.
-    Of contradicting labels of a document the least holds; with labels of one kind only, or none, every
-    score is their share, or 0.5. Repeated rows each give a row; other columns are ignored; an empty table
+    Of contradicting labels of a document the least holds, and of repeated rows of a labelled one the least text; with
+    labels of one kind only, or none, every score is their share, or 0.5. A text, however long, counts whole; nothing is
+    chosen by rank, so there are no ties. Repeated rows each give a row; other columns are ignored; an empty table
     gives an empty one.
     """
     model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, label, sample))
