@@ -77,6 +77,19 @@ def is_digest(text: Column) -> Column:
     return _sure(text.rlike("^[0-9a-fA-F]{64}$"))
 
 
+#: The first number that 64 bits without a sign do not hold.
+TOP = 1 << 64
+
+
+def checked(op: str, a: Column, b: Column) -> Column:
+    """Struct (value, error) of a sum ('add') or product ('multiply') of numbers without a sign: 'arithmetic_overflow', and no value, beyond 64 bits."""
+    x, y, top = a.cast("decimal(20,0)"), b.cast("decimal(20,0)"), F.lit(str(TOP)).cast("decimal(38,0)")
+    out = x + y if op == "add" else F.try_multiply(x, y)
+    fits = F.coalesce(out < top, F.lit(False))
+    known = a.isNotNull() & b.isNotNull()
+    return F.struct(F.when(fits, out).cast("decimal(20,0)").alias("value"), F.when(known & ~fits, "arithmetic_overflow").alias("error"))
+
+
 #: Names of the error codes, from 0.
 ERRORS = (
     "none invalid_argument invalid_tile_key parse_error io_error truncated_data arithmetic_overflow invalid_format "

@@ -10,14 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MAX_LEVEL = 28
-#: Masks that a Morton spread keeps after each shift, widest shift first.
-SPREAD = (
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-)
+#: The even places of a long, and the bits of a coordinate.
+EVEN, COORDINATE = 0x5555555555555555, (1 << 28) - 1
 _MORTON = (1 << 56) - 1
 
 
@@ -31,19 +25,13 @@ def right(x: Column, n: Column | int) -> Column:
 
 
 def spread(x: Column) -> Column:
-    """The low 28 bits of x at the even places of a long."""
-    out = x.cast("long")
-    for shift, mask in SPREAD:
-        out = out.bitwiseOR(left(out, shift)).bitwiseAND(F.lit(mask))
-    return out
+    """The low 28 bits of x at the even places of a long: its binary digits, read in base 4."""
+    return F.conv(F.bin(x.cast("long").bitwiseAND(F.lit(COORDINATE))), 4, 10).cast("long")
 
 
 def gather(m: Column) -> Column:
-    """The even bits of m, side by side."""
-    out = m.bitwiseAND(F.lit(SPREAD[-1][1]))
-    for (shift, _), mask in zip(reversed(SPREAD), [m for _, m in reversed(SPREAD[:-1])] + [0xFFFFFFFF], strict=True):
-        out = out.bitwiseOR(right(out, shift)).bitwiseAND(F.lit(mask))
-    return out
+    """The even bits of m, side by side: its digits in base 4, read in base 2."""
+    return F.conv(F.conv(m.bitwiseAND(F.lit(EVEN)).cast("string"), 10, 4), 2, 10).cast("long")
 
 
 def morton(x: Column, y: Column) -> Column:

@@ -7,10 +7,12 @@ many roots go over ancestors as equal keys, never over ranges.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import pi
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetlake.functions import keys
+from facetlake.functions import keys, topology
 
 KEY = ("face", "level", "morton")
 
@@ -68,24 +70,44 @@ def child_masks(index: DataFrame) -> DataFrame:
     return below.groupBy(*KEY).agg(F.bit_or("bit").alias("child_mask"))
 
 
+def _families(index: DataFrame) -> DataFrame:
+    """A row for each key that is a tile or the parent of one: _own (the tile's other columns, null if there is none), child_mask.
+
+    Tiles and marks for their parents meet in one aggregate, so that the index is computed once.
+    """
+    others = [c for c in index.columns if c not in KEY and c != "child_mask"]
+    level, m = keys.parent(F.col("level"), F.col("morton"))
+    own = F.struct(F.lit(True).alias("_there"), *others)
+    tile = F.struct("face", "level", "morton", own.alias("_own"), F.lit(0).alias("bit"))
+    mark = F.struct("face", level.alias("level"), m.alias("morton"), F.when(F.lit(False), own).alias("_own"), keys.left(F.lit(1), keys.quadrant(F.col("morton"))).alias("bit"))
+    rows = index.select(F.explode(F.array(tile, mark)).alias("r")).select("r.*").filter("level is not null")
+    return rows.groupBy(*KEY).agg(F.first("_own", ignorenulls=True).alias("_own"), F.bit_or("bit").alias("child_mask"))
+
+
 def with_child_mask(index: DataFrame) -> DataFrame:
-    """index with child_mask as its tiles give it; 0 for a leaf."""
-    return index.drop("child_mask").join(child_masks(index), list(KEY), "left").withColumn("child_mask", F.coalesce("child_mask", F.lit(0)))
+    """index, whose keys are distinct, with child_mask as its tiles give it; 0 for a leaf."""
+    names = [c for c in index.columns if c != "child_mask"]
+    return _families(index).filter("_own is not null").select(*[c if c in KEY else F.col(f"_own.{c}").alias(c) for c in names], "child_mask")
 
 
 def leaves(index: DataFrame, stored: str | None = None) -> DataFrame:
-    """Tiles without children: by a stored mask column, trusted as it is, or by the tiles themselves."""
+    """Tiles without children: by a stored mask column, trusted as it is, or by the tiles themselves, whose keys are distinct."""
     if stored:
         return index.filter(F.col(stored) == 0)
-    return index.join(child_masks(index).select(*KEY), list(KEY), "left_anti")
+    own = index.drop("child_mask") if "child_mask" not in index.columns else index.withColumnRenamed("child_mask", "_mask")
+    out = with_child_mask(own).filter("child_mask = 0").drop("child_mask")
+    return out.withColumnRenamed("_mask", "child_mask").select(*index.columns)
 
 
 def orphans(index: DataFrame) -> DataFrame:
-    """Tiles below level 0 whose parent is missing."""
+    """Tiles below level 0, of distinct keys, whose parent is missing: a parent's key meets its up to four children in one aggregate."""
     level, m = keys.parent(F.col("level"), F.col("morton"))
-    own = index.filter("level > 0").withColumns({"_l": level, "_m": m})
-    p = index.select(F.col("face").alias("_pf"), F.col("level").alias("_pl"), F.col("morton").alias("_pm")).distinct()
-    return own.join(p, (F.col("face") == F.col("_pf")) & (F.col("_l") == F.col("_pl")) & (F.col("_m") == F.col("_pm")), "left_anti").drop("_l", "_m")
+    child = F.struct(*index.columns)
+    tile = F.struct("face", "level", "morton", F.when(F.lit(False), child).alias("child"))
+    below = F.struct("face", level.alias("level"), m.alias("morton"), child.alias("child"))
+    rows = index.select(F.explode(F.array(tile, below)).alias("r")).select("r.*").filter("level is not null")
+    families = rows.groupBy(*KEY).agg(F.max(F.col("child").isNull()).alias("there"), F.collect_list("child").alias("children"))
+    return families.filter("not there").select(F.explode("children").alias("c")).select("c.*")
 
 
 def with_ancestors(tiles: DataFrame) -> DataFrame:
@@ -103,13 +125,88 @@ def nearest_ancestor(tiles: DataFrame, index: DataFrame) -> DataFrame:
     return best.select(*KEY, F.col("b.level").alias("anc_level"), F.col("b.morton").alias("anc_morton"))
 
 
-def pack_groups(index: DataFrame, target: Column | int, size: str = "stored_bytes") -> DataFrame:
+#: Bits of a Morton code below which a window runs: 65,536 tiles at most.
+WINDOW_BITS = 16
+
+
+def running(tiles: DataFrame, size: Column, name: str, deepest: int = keys.MAX_LEVEL, bits: int = 0) -> DataFrame:
+    """tiles, of distinct keys, with the sum of size over the tiles before each of its face and level, in Morton order.
+
+    Windows run over ranges of at most 2**WINDOW_BITS codes, whose sums are run over in the same way; `deepest` is the
+    deepest level that there may be, and spares ranges that cannot be.
+    """
+    part = keys.right(F.col("morton"), WINDOW_BITS)
+    w = Window.partitionBy("face", "level", "_part").orderBy("morton").rowsBetween(Window.unboundedPreceding, -1)
+    rows = tiles.withColumns({"_size": size, "_part": part})
+    rows = rows.withColumn(name, F.coalesce(F.sum("_size").over(w), F.lit(0)))
+    if 2 * deepest - bits <= WINDOW_BITS:
+        return rows.drop("_part", "_size")
+    sums = rows.groupBy("face", "level", F.col("_part").alias("morton")).agg(F.sum("_size").alias("_sum"))
+    before = f"_before{bits}"
+    sums = running(sums, F.col("_sum"), before, deepest, bits + WINDOW_BITS).select("face", "level", F.col("morton").alias("_part"), before)
+    return rows.join(sums, ["face", "level", "_part"]).withColumn(name, F.col(name) + F.col(before)).select(*tiles.columns, name)
+
+
+def pack_groups(index: DataFrame, target: Column | int, size: str = "stored_bytes", deepest: int = keys.MAX_LEVEL) -> DataFrame:
     """Packs by face and level: a tile starts in the pack that its bytes so far, in Morton order, divided by target, number."""
-    from pyspark.sql import Window
+    return running(index, F.col(size), "_bytes", deepest).withColumn("pack_part", F.floor(F.col("_bytes") / target).cast("long")).drop("_bytes")
 
-    w = Window.partitionBy("face", "level").orderBy("morton").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(size).over(w), F.lit(0))
-    return index.withColumn("pack_part", F.floor(before / target).cast("long"))
+
+def pack_ids(tiles: DataFrame, deepest: int = keys.MAX_LEVEL) -> DataFrame:
+    """tiles, of distinct keys, with pack_id, their number from 0 by (face, level, morton); a window runs over the faces and levels, 174 at most."""
+    own = running(tiles, F.lit(1).cast("long"), "_at", deepest)
+    sums = tiles.groupBy("face", "level").agg(F.count("*").alias("_n"))
+    w = Window.orderBy("face", "level").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_first", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    return own.join(F.broadcast(sums), ["face", "level"]).withColumn("pack_id", F.col("_first") + F.col("_at")).drop("_first", "_at").select(*tiles.columns, "pack_id")
+
+
+def adequate_level(resolution: Column, radius: float = 1737400.0, cells: int = 256, distortion: float = 1.0) -> Column:
+    """The coarsest level whose samples, a quarter of the circumference over cells * 2^level of them, stretched by distortion, lie no further apart than resolution; null for none above 0."""
+    spacing = F.lit(radius * pi / 2 * distortion / cells) / resolution
+    return F.when((resolution > 0) & (resolution < float("inf")), F.greatest(F.lit(0), F.least(F.lit(keys.MAX_LEVEL), F.ceil(F.log2(spacing))))).cast("int")
+
+
+def sparse_plan(footprints: DataFrame, level: Column) -> DataFrame:
+    """Keys of the tiles to build: each footprint (face, level, morton) at the wanted level below it, or itself if that is above, and all ancestors."""
+    down = F.greatest(level - F.col("level"), F.lit(0)).cast("int")
+    first = keys.left(F.col("morton"), 2 * down)
+    below = footprints.select("face", (F.col("level") + down).alias("level"), F.explode(F.sequence(first, first + keys.left(F.lit(1).cast("long"), 2 * down) - 1)).alias("morton"))
+    return with_ancestors(below.distinct())
+
+
+def balanced(leaves: DataFrame, deepest: int) -> DataFrame:
+    """Leaves (face, level, morton) subdivided until no two that share an edge are more than one level apart, with derived: not in leaves.
+
+    From the deepest level up, the parents of a level's neighbours must be tiles themselves where some leaf covers
+    them; a tile that is needed comes with its siblings. At most `deepest` rounds, none of which collects.
+    """
+    own = leaves.select(*KEY).distinct()
+    need = {level: own.filter(F.col("level") == level) for level in range(deepest + 1)}
+    up = own.select("face", F.explode(keys.ancestors(F.col("level"), F.col("morton"))).alias("a")).select("face", "a.*").distinct()
+    nodes = {level: up.filter(F.col("level") == level) for level in range(deepest + 1)}
+    roots = own.select(F.col("face").alias("_f"), F.col("level").alias("_l"), F.col("morton").alias("_m"))
+    for level in range(deepest, 1, -1):
+        at = nodes[level].withColumns({"x": keys.x_of(F.col("morton")), "y": keys.y_of(F.col("morton"))})
+        wanted = topology.neighbors(at).select(F.col("nbr_face").alias("face"), keys.right(keys.morton(F.col("nbr_x"), F.col("nbr_y")), 4).alias("_up")).distinct()
+        # Siblings of the neighbours' parents, one level up, where a leaf above them covers the place.
+        wanted = wanted.select("face", F.lit(level - 1).alias("level"), F.explode(F.sequence(4 * F.col("_up"), 4 * F.col("_up") + 3)).alias("morton"))
+        over = wanted.withColumn("a", F.explode(keys.ancestors(F.col("level"), F.col("morton")))).filter("a.level < level")
+        over = over.join(roots, (F.col("face") == F.col("_f")) & (F.col("a.level") == F.col("_l")) & (F.col("a.morton") == F.col("_m")), "left_semi").select(*KEY)
+        for deep in range(level - 1, 0, -1):
+            add = over.select("face", F.lit(deep).alias("level"), keys.right(F.col("morton"), 2 * (level - 1 - deep)).alias("m"))
+            add = add.select("face", "level", F.explode(F.sequence(4 * keys.right(F.col("m"), 2), 4 * keys.right(F.col("m"), 2) + 3)).alias("morton"))
+            add = add.withColumn("a", F.explode(keys.ancestors(F.col("level"), F.col("morton")))).filter("a.level < level")
+            add = add.join(roots, (F.col("face") == F.col("_f")) & (F.col("a.level") == F.col("_l")) & (F.col("a.morton") == F.col("_m")), "left_semi").select(*KEY)
+            nodes[deep] = nodes[deep].unionByName(add).distinct()
+    every = nodes[0]
+    for level in range(1, deepest + 1):
+        every = every.unionByName(nodes[level])
+    out = leaves(every.distinct())
+    marks = need[0]
+    for level in range(1, deepest + 1):
+        marks = marks.unionByName(need[level])
+    return out.join(marks.withColumn("_own", F.lit(True)), list(KEY), "left").withColumn("derived", F.col("_own").isNull()).drop("_own")
 
 
 def level_stats(index: DataFrame) -> DataFrame:

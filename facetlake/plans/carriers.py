@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetlake.functions import keys
+from facetlake.functions.topology import ROWS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,11 +74,28 @@ TILES = f"""tiles as (select *, {bits("x", "y", 4)} morton from (
 LEVELS = f"""levels as (select *, {bits("x", "y", 4)} morton from (
   select *, (o_orderkey // 6) % (1::bigint << level) x, (o_orderkey // 96) % (1::bigint << level) y from (
     select o_orderkey, (o_orderkey % 6)::int face, (o_custkey % 5)::int as level, (floor(o_totalprice)::bigint % 65536)::int code from orders)))"""
-#: The 24 meeting edges, as in functions.topology.
-TOPOLOGY = """topo(face, edge, nf, ne, rev) as (values
-  (0,0,3,1,false), (0,1,1,0,false), (0,2,5,3,false), (0,3,4,2,false), (1,0,0,1,false), (1,1,2,0,false), (1,2,5,1,true), (1,3,4,1,false),
-  (2,0,1,1,false), (2,1,3,0,false), (2,2,5,2,true), (2,3,4,3,true), (3,0,2,1,false), (3,1,0,0,false), (3,2,5,0,false), (3,3,4,0,true),
-  (4,0,3,3,true), (4,1,1,3,false), (4,2,0,3,false), (4,3,2,3,true), (5,0,3,2,false), (5,1,1,2,true), (5,2,2,2,true), (5,3,0,2,false))"""
+TOPOLOGY = "topo(face, edge, nf, ne, rev) as (values " + ", ".join(f"({f},{e},{nf},{ne},{str(r).lower()})" for f, e, nf, ne, r in ROWS) + ")"
+
+
+def quads(spark: SparkSession, sf_dir: str, cells: int = 16) -> DataFrame:
+    """Rasters of the 24 tiles of level 1, but for the last of face 2, whose samples on shared edges differ by tile: face, level, morton, y, x, code."""
+    n = 2 * cells + 1
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
+    at = li.select((F.col("l_orderkey") % 6).cast("int").alias("face"), (F.col("l_partkey") % n).cast("int").alias("gy"), (F.col("l_suppkey") % n).cast("int").alias("gx"), F.floor("l_extendedprice").alias("p"))
+    sums = at.groupBy("face", "gy", "gx").agg((F.sum("p") % 4000).cast("int").alias("s"))
+    side = (cells + 1) ** 2
+    i = F.col("id")
+    full = spark.range(24 * side).select(F.expr(f"cast(id div {4 * side} as int)").alias("face"), F.lit(1).alias("level"), F.expr(f"id div {side} % 4").alias("morton"), F.expr(f"cast(id div {cells + 1} % {cells + 1} as int)").alias("y"), (i % (cells + 1)).cast("int").alias("x"))
+    full = full.filter("not (face = 2 and morton = 3)").withColumns({"gx": (F.col("morton") % 2 * cells + F.col("x")).cast("int"), "gy": (F.expr("morton div 2") * cells + F.col("y")).cast("int")})
+    code = F.coalesce("s", F.expr("(face * 100 + gy * 31 + gx * 17) % 4000")) + F.col("morton") * 3 + F.col("face")
+    return full.join(sums, ["face", "gy", "gx"], "left").select("face", "level", "morton", "y", "x", code.cast("int").alias("code"))
+
+
+def quads_sql(cells: int = 16) -> str:
+    n, side = 2 * cells + 1, (cells + 1) ** 2
+    return f"""quads as (select f.face::int face, 1::int as level, f.morton, f.y::int y, f.x::int x, f.gx, f.gy, (coalesce(s.s, (f.face * 100 + f.gy * 31 + f.gx * 17) % 4000) + f.morton * 3 + f.face)::int code
+  from (select *, morton % 2 * {cells} + x gx, morton // 2 * {cells} + y gy from (select i // {4 * side} face, i // {side} % 4 morton, i // {cells + 1} % {cells + 1} y, i % {cells + 1} x from range({24 * side}) t(i)) where not (face = 2 and morton = 3)) f
+  left join (select l_orderkey % 6 face, l_partkey % {n} gy, l_suppkey % {n} gx, (sum(floor(l_extendedprice)::bigint) % 4000)::int s from lineitem group by all) s using (face, gy, gx))"""
 
 
 def grid_sql(cells: int = 16) -> str:

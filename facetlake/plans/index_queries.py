@@ -42,17 +42,10 @@ def _below(spark, sf_dir, roots: DataFrame) -> DataFrame:
     return index.subtrees(index_levels(spark, sf_dir), roots).groupBy("root_face", "root_level", "root_morton").agg(F.count("*").alias("tiles"), F.sum("n").alias("n"))
 
 
-@query(f"""with {LEVELS}, {IDXL}, roots as (select distinct face, level, morton from levels where level in (1, 2) and o_orderkey % 3 = 0)
-select r.face root_face, r.level root_level, r.morton root_morton, count(*) tiles, sum(n)::bigint n from roots r join idx i
-on i.face = r.face and i.level >= r.level and (i.morton >> (2 * greatest(i.level - r.level, 0))::int) = r.morton group by all""")
-def subtree_multi_join(spark, sf_dir) -> DataFrame:
-    return _below(spark, sf_dir, levels(spark, sf_dir).filter("level in (1, 2) and o_orderkey % 3 = 0"))
-
-
 @query(f"""with {LEVELS}, {IDXL}, roots as (select distinct face, level, morton from levels where level in (1, 2))
 select r.face root_face, r.level root_level, r.morton root_morton, count(*) tiles, sum(n)::bigint n from roots r join idx i
 on i.face = r.face and i.level >= r.level and (i.morton >> (2 * greatest(i.level - r.level, 0))::int) = r.morton group by all""")
-def subtree_multi_join_whole(spark, sf_dir) -> DataFrame:
+def subtree_multi_join(spark, sf_dir) -> DataFrame:
     return _below(spark, sf_dir, levels(spark, sf_dir).filter("level in (1, 2)"))
 
 
@@ -106,7 +99,24 @@ def level_stats(spark, sf_dir) -> DataFrame:
 @query(f"""with {TILES}, {IDX4} select face, level, morton, floor((sum(n * 100) over (partition by face, level order by morton) - n * 100) / 1000)::bigint pack_part from idx""")
 def pack_rollover(spark, sf_dir) -> DataFrame:
     own = index4(spark, sf_dir).withColumn("stored_bytes", F.col("n") * 100)
-    return index.pack_groups(own, 1000).select("face", "level", "morton", "pack_part")
+    return index.pack_groups(own, 1000, deepest=4).select("face", "level", "morton", "pack_part")
+
+
+@query(f"with {LEVELS}, {IDXL} select face, level, morton, row_number() over (order by face, level, morton) - 1 pack_id from idx")
+def pack_ids(spark, sf_dir) -> DataFrame:
+    return index.pack_ids(index_levels(spark, sf_dir)).select("face", "level", "morton", "pack_id")
+
+
+FOOT = "foot as (select (s_suppkey % 6)::int face, 2::int as level, (s_suppkey % 16)::bigint morton, 3000.0::double / (1 + s_suppkey % 7) resolution from supplier)"
+
+
+@query(f"""with {FOOT}, want as (select *, greatest(0, least(28, ceil(log2(1737400 * pi() / 2 / 256 / resolution))))::int deep from foot),
+below as (select face, greatest(level, deep) as level, (morton << (2 * greatest(deep - level, 0))) + i morton from want, unnest(range(1::bigint << (2 * greatest(deep - level, 0)))) t(i))
+select distinct face, (level - up)::int as level, morton >> (2 * up)::int morton from below, range(29) t(up) where up <= level""")
+def footprint_plan(spark, sf_dir) -> DataFrame:
+    s, k = table(spark, sf_dir, "supplier", "s_suppkey"), F.col("s_suppkey")
+    foot = s.select((k % 6).cast("int").alias("face"), F.lit(2).alias("level"), (k % 16).alias("morton"), (F.lit(3000.0) / (1 + k % 7)).alias("resolution"))
+    return index.sparse_plan(foot, index.adequate_level(F.col("resolution")))
 
 
 @query(f"""with {TILES}, {IDX4}, a as (select face, level, morton, sum_code from idx where morton % 5 > 0), b as (select face, level, morton, case when morton % 7 = 0 then sum_code + 1 else sum_code end sum_code from idx where morton % 3 > 0)
@@ -139,15 +149,9 @@ def _covered(spark, sf_dir, li: DataFrame) -> DataFrame:
     return index.subtrees(index4(spark, sf_dir), cov).groupBy("dataset", "face").agg(F.countDistinct("morton").alias("tiles"))
 
 
-@query(f"""with {TILES}, {IDX4}, cov as (select l_suppkey dataset, (l_orderkey % 6)::int face, 2 as level, (l_partkey % 16)::bigint morton from lineitem where l_linenumber = 1)
-select dataset, i.face, count(distinct i.morton) tiles from (select distinct * from cov) c join idx i on i.face = c.face and (i.morton >> 4) = c.morton group by all""")
-def coverage_join(spark, sf_dir) -> DataFrame:
-    return _covered(spark, sf_dir, table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey", "l_partkey", "l_linenumber").filter("l_linenumber = 1"))
-
-
 @query(f"""with {TILES}, {IDX4}, cov as (select l_suppkey dataset, (l_orderkey % 6)::int face, 2 as level, (l_partkey % 16)::bigint morton from lineitem)
 select dataset, i.face, count(distinct i.morton) tiles from (select distinct * from cov) c join idx i on i.face = c.face and (i.morton >> 4) = c.morton group by all""")
-def coverage_join_whole(spark, sf_dir) -> DataFrame:
+def coverage_join(spark, sf_dir) -> DataFrame:
     return _covered(spark, sf_dir, table(spark, sf_dir, "lineitem", "l_suppkey", "l_orderkey", "l_partkey"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from facetlake.functions import topology
 from facetlake.operators import fusion, raster
-from facetlake.plans.carriers import TOPOLOGY, grid, grid_sql, levels, query, table
+from facetlake.plans.carriers import LEVELS, TOPOLOGY, grid, grid_sql, levels, quads, quads_sql, query, table
 
 CELLS = 16
 GRID = grid_sql(CELLS)
@@ -131,11 +131,68 @@ def seam_report(spark, sf_dir) -> DataFrame:
     return s.agg(F.countDistinct(F.col("face") * 4 + F.col("edge")).alias("seams"), F.count("*").alias("samples"), F.count_if(F.col("code") != F.col("nbr_code")).alias("mismatches"))
 
 
-@query()
+QUADS = quads_sql(CELLS)
+SPAN = 2 * CELLS
+
+
+@query(f"""with {LEVELS}, {TOPOLOGY}, own as (select distinct face, level, x, y from levels),
+e as (select l.*, edge, nf, ne, rev, (1::bigint << level) - 1 last, case edge when 0 then x > 0 when 1 then x < (1::bigint << level) - 1 when 2 then y > 0 else y < (1::bigint << level) - 1 end ins from own l join topo using (face)),
+a as (select *, case when rev then last - (case when edge < 2 then y else x end) else (case when edge < 2 then y else x end) end along from e),
+n as (select face, level, x, y, edge, case when ins then face else nf end f2, case when ins then x + (case edge when 0 then -1 when 1 then 1 else 0 end) when ne = 0 then 0 when ne = 1 then last else along end x2,
+  case when ins then y + (case edge when 2 then -1 when 3 then 1 else 0 end) when ne = 2 then 0 when ne = 3 then last else along end y2 from a)
+select n.level, edge, count(*) pairs from n join own o on o.face = f2 and o.level = n.level and o.x = x2 and o.y = y2 where (n.face, n.x, n.y) < (f2, x2, y2) group by all""")
 def seams_of_tiles(spark, sf_dir) -> DataFrame:
     """Neighbouring tiles of the index that both exist, each pair once."""
-    own = levels(spark, sf_dir).select("face", "level", "x", "y").distinct()
-    nbr = topology.neighbors(own)
-    there = own.select(F.col("face").alias("nbr_face"), F.col("level").alias("l2"), F.col("x").alias("nbr_x"), F.col("y").alias("nbr_y"))
-    both = nbr.join(there, (nbr["nbr_face"] == there["nbr_face"]) & (nbr["level"] == there["l2"]) & (nbr["nbr_x"] == there["nbr_x"]) & (nbr["nbr_y"] == there["nbr_y"]), "left_semi")
-    return both.filter("(face, x, y) < (nbr_face, nbr_x, nbr_y)").groupBy("level", "edge").agg(F.count("*").alias("pairs"))
+    return topology.touching_pairs(levels(spark, sf_dir)).groupBy("level", "edge").agg(F.count("*").alias("pairs"))
+
+
+#: Lattice nodes of level 1 that lie on an edge of a tile, with all places they have; the least names the node.
+NODES = f"""near as (select * from quads where x in (0, {CELLS}) or y in (0, {CELLS})),
+places as (select face, morton, y, x, code, face nf, gx ngx, gy ngy from near
+  union all select q.face, morton, y, x, code, t.nf, case t.ne when 0 then 0 when 1 then {SPAN} else pos end, case t.ne when 2 then 0 when 3 then {SPAN} else pos end
+  from (select q.*, t.nf, t.ne, case when t.rev then {SPAN} - (case when t.edge < 2 then gy else gx end) else (case when t.edge < 2 then gy else gx end) end pos
+    from near q join topo t on t.face = q.face and ((t.edge = 0 and gx = 0) or (t.edge = 1 and gx = {SPAN}) or (t.edge = 2 and gy = 0) or (t.edge = 3 and gy = {SPAN}))) q join topo t on t.face = q.face and t.nf = q.nf and t.ne = q.ne),
+named as (select face, morton, y, x, any_value(code) code, min(nf::bigint * 1000000 + ngx * 1000 + ngy) node from places group by face, morton, y, x),
+owned as (select *, first_value(code) over (partition by node order by face, morton) own from named)"""
+
+
+@query(f"""with {QUADS}, {TOPOLOGY}, {NODES} select q.face, q.morton, q.y, q.x, coalesce(o.own, q.code) code from quads q left join owned o using (face, morton, y, x)""")
+def seam_resolve_quads(spark, sf_dir) -> DataFrame:
+    return raster.resolve_seams(quads(spark, sf_dir, CELLS), CELLS).select("face", "morton", "y", "x", "code")
+
+
+@query(f"""with {QUADS}, {TOPOLOGY}, e as (select face, morton, 0 edge, y p, code, morton % 2 tx, morton // 2 ty from quads where x = 0 union all select face, morton, 1, y, code, morton % 2, morton // 2 from quads where x = {CELLS}
+  union all select face, morton, 2, x, code, morton % 2, morton // 2 from quads where y = 0 union all select face, morton, 3, x, code, morton % 2, morton // 2 from quads where y = {CELLS}),
+n as (select e.*, case edge when 0 then tx > 0 when 1 then tx < 1 when 2 then ty > 0 else ty < 1 end ins, nf, ne, rev, case when rev then 1 - (case when edge < 2 then ty else tx end) else (case when edge < 2 then ty else tx end) end along from e join topo using (face, edge)),
+m as (select face, morton, edge, p, code, case when ins then face else nf end f2, case when ins then [1, 0, 3, 2][edge + 1] else ne end e2, case when not ins and rev then {CELLS} - p else p end q,
+  case when ins then tx + (case edge when 0 then -1 when 1 then 1 else 0 end) when ne = 0 then 0 when ne = 1 then 1 else along end x2, case when ins then ty + (case edge when 2 then -1 when 3 then 1 else 0 end) when ne = 2 then 0 when ne = 3 then 1 else along end y2 from n)
+select m.face, m.morton, m.edge, f2 nbr_face, x2 + 2 * y2 nbr_morton, e2 nbr_edge, count(*) n, count(*) filter (where m.code <> o.code) differ from m join e o on o.face = f2 and o.morton = x2 + 2 * y2 and o.edge = e2 and o.p = q
+where (m.face, m.morton) < (f2, x2 + 2 * y2) group by all""")
+def seam_pairs_quads(spark, sf_dir) -> DataFrame:
+    s = raster.seams(quads(spark, sf_dir, CELLS), CELLS)
+    return s.groupBy("face", "morton", "edge", "nbr_face", "nbr_morton", "nbr_edge").agg(F.count("*").alias("n"), F.count_if(F.col("code") != F.col("nbr_code")).alias("differ"))
+
+
+@query(f"""with {GRID}, {QUADS}, spot as (select q.face, q.morton, q.code, q.gx / 2.0::double px, q.gy / 2.0::double py from quads q),
+low as (select *, least(floor(px), {CELLS - 1})::int x0, least(floor(py), {CELLS - 1})::int y0 from spot),
+c as (select l.*, g.code a, h.code b, i.code c, j.code d from low l join grid g on g.face = l.face and g.x = x0 and g.y = y0 join grid h on h.face = l.face and h.x = x0 + 1 and h.y = y0
+  join grid i on i.face = l.face and i.x = x0 and i.y = y0 + 1 join grid j on j.face = l.face and j.x = x0 + 1 and j.y = y0 + 1)
+select face, morton, 0::int anc_level, max(abs(code - ((1 - (px - x0)) * (1 - (py - y0)) * a + (px - x0) * (1 - (py - y0)) * b + (1 - (px - x0)) * (py - y0) * c + (px - x0) * (py - y0) * d))) max_error from c group by face, morton""")
+def ancestor_error(spark, sf_dir) -> DataFrame:
+    own = grid(spark, sf_dir, CELLS).unionByName(quads(spark, sf_dir, CELLS))
+    return raster.ancestor_error(own, CELLS).select("face", "morton", "anc_level", "max_error")
+
+
+@query(f"""with src as (select l_orderkey % 500 cell, l_suppkey dataset, (l_suppkey % 3)::int priority, (l_linenumber % 4) weight, case when l_suppkey % 5 = 0 then null when l_suppkey % 2 = 1 then l_extendedprice + 1737400.0::double else l_extendedprice end v, (l_suppkey % 2 + l_suppkey % 4 // 2 * 8)::int flags from lineitem),
+each as (select cell, priority, dataset, sum(weight * (case when flags & 1 = 1 then v - 1737400.0::double else v end)) h, sum(weight) w, bit_or(flags & ~1) q from src where v is not null and weight > 0 group by all),
+best as (select * from each qualify priority = max(priority) over (partition by cell))
+select cell, min(dataset) primary_source, round(sum(h) / sum(w) * 100)::bigint elevation, count(*) sources, round(max(w) / sum(w) * 1e6)::bigint top_share, (bit_or(q) | (case when count(*) > 1 then 4 else 0 end))::int quality from best group by cell""")
+def canonical_sampler(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey", "l_extendedprice", "l_linenumber")
+    k, v = F.col("l_suppkey"), F.col("l_extendedprice")
+    value = F.when(k % 5 == 0, None).when(k % 2 == 1, v + 1737400.0).otherwise(v)
+    flags = (k % 2 + F.expr("l_suppkey % 4 div 2") * 8).cast("int")
+    own = li.select((F.col("l_orderkey") % 500).alias("cell"), k.alias("dataset"), (k % 3).cast("int").alias("priority"), (F.col("l_linenumber") % 4).alias("weight"), value.alias("value"), flags.alias("flags"))
+    out = fusion.canonical(own, ["cell"])
+    top = F.array_max(F.transform("contributions", lambda c: c["fraction"]))
+    return out.select("cell", F.col("primary").alias("primary_source"), F.round(F.col("elevation") * 100).cast("long").alias("elevation"), F.size("contributions").cast("long").alias("sources"), F.round(top * 1e6).cast("long").alias("top_share"), "quality")

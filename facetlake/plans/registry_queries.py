@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,8 +175,8 @@ def range_fits(spark, sf_dir) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", checks.range_fits(F.col("l_partkey") - 50, F.col("l_suppkey") * 20, F.col("l_orderkey") % 3000).alias("fits"), hashing.align(F.col("l_suppkey") * 20, 8).alias("aligned"))
 
 
-@query("""select o_orderkey, (o_custkey % 16 & ~3) = 0 flags_ok, case when o_orderkey % 4 > 0 and (o_custkey % 16 & 1) = 1 then 'unsupported_feature' end error,
-  ['none', 'invalid_argument', 'invalid_tile_key', 'parse_error', 'io_error', 'truncated_data', 'arithmetic_overflow', 'invalid_format', 'unsupported_version', 'unsupported_feature', 'checksum_mismatch', 'hash_mismatch', 'decompression_failed', 'not_found', 'internal_error', 'unknown', 'unknown'][o_orderkey % 17 + 1] code_name from orders""")
+@query(f"""select o_orderkey, (o_custkey % 16 & ~3) = 0 flags_ok, case when o_orderkey % 4 > 0 and (o_custkey % 16 & 1) = 1 then 'unsupported_feature' end error,
+  {[*checks.ERRORS, 'unknown', 'unknown']}[o_orderkey % 17 + 1] code_name from orders""")
 def flag_mask(spark, sf_dir) -> DataFrame:
     o, flags = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), F.col("o_custkey") % 16
     return o.select("o_orderkey", checks.only_flags(flags, 3).alias("flags_ok"), checks.feature_error(F.col("o_orderkey") % 4 == 0, flags).alias("error"), checks.error_name((F.col("o_orderkey") % 17).cast("int")).alias("code_name"))
@@ -231,15 +233,9 @@ def _tag_counts(o: DataFrame) -> DataFrame:
     return t.groupBy("tag").agg(F.count("*").alias("n")).withColumns({"once": F.col("n") == 1, "mandatory": F.col("tag") != "XTRA"})
 
 
-@query("""with t(tag) as (select ['DSET', 'META', 'PACK', 'STRS', 'TIDX', 'XTRA'][o_orderkey % 6 + 1] from orders where o_orderkey % 11 < 5 or o_orderkey % 6 = 1)
-select tag, count(*) n, count(*) = 1 as once, tag <> 'XTRA' mandatory from t group by tag""")
-def chunk_counts(spark, sf_dir) -> DataFrame:
-    return _tag_counts(table(spark, sf_dir, "orders", "o_orderkey").filter("o_orderkey % 11 < 5 or o_orderkey % 6 = 1"))
-
-
 @query("""with t(tag) as (select ['DSET', 'META', 'PACK', 'STRS', 'TIDX', 'XTRA'][o_orderkey % 6 + 1] from orders)
 select tag, count(*) n, count(*) = 1 as once, tag <> 'XTRA' mandatory from t group by tag""")
-def chunk_counts_whole(spark, sf_dir) -> DataFrame:
+def chunk_counts(spark, sf_dir) -> DataFrame:
     return _tag_counts(table(spark, sf_dir, "orders", "o_orderkey"))
 
 
@@ -260,6 +256,35 @@ def byte_equality(spark, sf_dir) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("only_a")).unionByName(b.exceptAll(a).withColumn("side", F.lit("only_b")))
 
 
-@query()
+@query("""with steps as (select list(v order by i) t from (select i, list_reduce(range(9), lambda c, k: case when k = 0 then c when c & 1 = 1 then xor(c >> 1, 2197175160) else c >> 1 end, i) v from range(256) r(i)))
+select c_custkey, xor(list_reduce(list_transform(string_split(c_name, ''), lambda x: ord(x)::bigint), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), 4294967295), 4294967295)::bigint crc32c from customer, steps""")
 def crc32c(spark, sf_dir) -> DataFrame:
     return hashing.with_crc32c(table(spark, sf_dir, "customer", "c_custkey", "c_name"), "c_name").select("c_custkey", "crc32c")
+
+
+@query("""select o_orderkey, o_custkey::decimal(20, 0) u64, o_totalprice f64, o_totalprice::float::double f32, (o_custkey % 65536)::bigint u16 from orders""")
+def typed_bytes(spark, sf_dir) -> DataFrame:
+    """Numbers written to bytes, least first, and read again."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice")
+
+    def write(batches):
+        for batch in batches:
+            ids, key, price = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            rows = np.rec.fromarrays([key.astype("<u8"), price.astype("<f8"), price.astype("<f4"), (key % 65536).astype("<u2")], dtype=[("a", "<u8"), ("b", "<f8"), ("c", "<f4"), ("d", "<u2")])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([r.tobytes() for r in rows], pa.binary())], ["o_orderkey", "data"])
+
+    data = o.mapInArrow(write, "o_orderkey long, data binary")
+    d = F.col("data")
+    return data.select("o_orderkey", hashing.from_le(d, 0, 8).alias("u64"), hashing.float_from_le(d, 8, 8).alias("f64"), hashing.float_from_le(d, 16, 4).alias("f32"), hashing.from_le(d, 20, 2).alias("u16"))
+
+
+@query("""select o_orderkey, case when a + b < 18446744073709551616 then (a + b)::decimal(20, 0) end total, case when a + b >= 18446744073709551616 then 'arithmetic_overflow' end total_error,
+  case when o_custkey::hugeint * b < 18446744073709551616 then (o_custkey::hugeint * b)::decimal(20, 0) end product, case when o_custkey::hugeint * b >= 18446744073709551616 then 'arithmetic_overflow' end product_error
+from (select o_orderkey, o_custkey, 18446744073709550000::hugeint + o_orderkey a, (o_custkey * 100000007)::hugeint * 3000 b from orders)""")
+def checked_arithmetic(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    a = F.lit("18446744073709550000").cast("decimal(20,0)") + F.col("o_orderkey")
+    b = (F.col("o_custkey") * 100000007).cast("decimal(20,0)") * 3000
+    total, product = checks.checked("add", a, b), checks.checked("multiply", F.col("o_custkey"), b)
+    out = o.select("o_orderkey", total.alias("t"), product.alias("p"))
+    return out.select("o_orderkey", F.col("t.value").alias("total"), F.col("t.error").alias("total_error"), F.col("p.value").alias("product"), F.col("p.error").alias("product_error"))

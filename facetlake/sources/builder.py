@@ -17,12 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from facetlake.functions import elevation, keys, projection
 from facetlake.functions.hashing import crc32c
 from facetlake.operators import index, raster
 from facetlake.sources import config, container
 from facetlake.sources.layout import (
     CHANNEL, CHUNK, DATASET, ELEV, ENDIAN, HEADER, MANDATORY, PACK, PACK_HEADER, PALETTE, PROVENANCE, PRVN,
-    TILE, TILE_HEADER, Error, align, framed, require, sha,
+    QUAL, TILE, TILE_HEADER, Error, align, framed, require, sha,
 )
 
 CELLS, SIDE = 256, 259
@@ -34,12 +35,13 @@ def dataset(c: config.Config) -> dict:
     artifact = config.canonical({"amplitude_meters": c.amplitude, "formula": "analytic_unit_vector_v1", "version": 1}).encode()
     digest, name = hashlib.sha256(artifact).digest(), "synthetic/p0-v1.json"
     meta = {"artifact_members": [{"bytes": len(artifact), "name": name, "sha256": digest.hex()}], "datum": {"reference_radius_m": 1737400}, "elevation_representation": "elevation_meters", "metadata_overrides": {}, "no_data": "none", "stable_key": c.stable_key}
-    strings = ["Synthetic P0 Analytic Terrain", c.producer, "", "", "1", c.source_uri, c.crs, "Generated test data"]
+    strings = ["Analytic terrain", c.producer, "", "", "1", c.source_uri, c.crs, "Made by rule"]
     return {"id": config.dataset_id(c.stable_key), "flags": 0, "strings": strings, "doubles": [float(config.RESOLUTION), None, None, None], "bundle_bytes": len(artifact), "bundle_hash": config.bundle_hash([(name, len(artifact), digest)]), "meta": config.canonical(meta).encode(), "quality": 0}
 
 
 def dependency_hash(key: int, semantic: bytes, d: dict) -> bytes:
     s = semantic.hex()
+    #: Names, algorithms and versions of the document that the hash is taken of.
     doc = {
         "builder_algorithm_version": 1, "datum_version": "synthetic_datum_v1", "fusion": {"algorithm": "synthetic_analytic_v1", "configuration_sha256": s},
         "projection": {"id": 1, "implementation_version": 1}, "quantization": {"configuration_sha256": s, "id": 1}, "semantic_configuration_sha256": s,
@@ -70,8 +72,8 @@ def encode_tile(key: int, samples: np.ndarray, semantic: bytes, d: dict) -> tupl
     return payload + bytes(start - len(payload)) + body, lo, hi, dependency, content, sum(c.logical_bytes for c, _, _ in channels)
 
 
-def encoded_tiles(spark: SparkSession, c: config.Config) -> DataFrame:
-    """A row for each root tile: face, payload, lo, hi, dependency, content, logical."""
+def encoded_tiles(spark: SparkSession, c: config.Config, faces: list[int] | None = None) -> DataFrame:
+    """A row for each root tile, or those of some faces: face, payload, lo, hi, dependency, content, logical."""
     semantic, d = config.identify(c).semantic_hash, dataset(c)
     samples = raster.with_apron(raster.resolve_seams(raster.synthetic_faces(spark, CELLS, c.amplitude), CELLS), CELLS)
 
@@ -82,6 +84,8 @@ def encoded_tiles(spark: SparkSession, c: config.Config) -> DataFrame:
         payload, lo, hi, dependency, content, logical = encode_tile(face << 61, grid, semantic, d)
         return pd.DataFrame({"face": [face], "payload": [payload], "lo": [lo], "hi": [hi], "dependency": [dependency], "content": [content], "logical": [logical]})
 
+    if faces is not None:
+        samples = samples.filter(F.col("face").isin(faces))
     return samples.groupBy("face").applyInPandas(encode, "face int, payload binary, lo int, hi int, dependency binary, content binary, logical long")
 
 
@@ -94,12 +98,33 @@ def string_table(texts: list[str]) -> tuple[bytes, dict[str, int]]:
     return out, ids
 
 
-def make_files(spark: SparkSession, c: config.Config) -> dict[str, bytes]:
-    """All files of a database by relative path, the manifest last."""
+def reusable(spark: SparkSession, c: config.Config, path: str) -> dict[int, dict]:
+    """By face, the tiles of an older database whose dependency hash is that of the configuration, as encoded_tiles() has them."""
+    semantic, d = config.identify(c).semantic_hash, dataset(c)
+    db = container.Database(spark, path)
+    folder, packs = Path(path).parent, {p.pack_id: p for p in db.manifest.packs}
+    out = {}
+    for t in db.manifest.tiles:
+        face, level, _ = container.key_parts(t.key)
+        dependency = dependency_hash(t.key, semantic, d)
+        if level == 0 and t.dependency_prefix == dependency[:8]:
+            pack = packs[t.pack_id]
+            data = (folder / db.manifest.strings[pack.path_id]).read_bytes()
+            container.check_pack(data, pack, [x for x in db.manifest.tiles if x.pack_id == t.pack_id], path)
+            payload = data[t.payload_offset : t.payload_offset + t.stored_bytes]
+            container.decode_tile(payload, t, path)
+            out[face] = {"face": face, "payload": payload, "lo": t.min_code, "hi": t.max_code, "dependency": dependency, "content": t.content_prefix, "logical": t.logical_bytes}
+    return out
+
+
+def make_files(spark: SparkSession, c: config.Config, reuse: dict[int, dict] | None = None) -> dict[str, bytes]:
+    """All files of a database by relative path, the manifest last; tiles given in `reuse` are not made again."""
     identity, d = config.identify(c), dataset(c)
     registry = config.registry_hash([d])
     database_id = sha("LTDB_DATABASE_ID_V1", identity.builder_hash, registry)[:16]
-    tiles = sorted(encoded_tiles(spark, c).collect(), key=lambda r: r["face"])
+    reuse = reuse or {}
+    todo = [f for f in range(6) if f not in reuse]
+    tiles = sorted([*(encoded_tiles(spark, c, todo).collect() if todo else ()), *reuse.values()], key=lambda r: r["face"])
     files, packs, entries = {}, [], []
     for i, t in enumerate(tiles):
         payload, key = bytes(t["payload"]), t["face"] << 61
@@ -175,12 +200,15 @@ def plan(path: str) -> dict:
     return {"tiles": [f"QSC/F{f}/L00/0000/0000" for f in range(6)], "logical_bytes": 6 * TILE_BYTES}
 
 
-def build(spark: SparkSession, path: str) -> dict:
+def build(spark: SparkSession, path: str, incremental: bool = False) -> dict:
+    """Make and publish a database; an incremental build makes only tiles whose dependency hash is not that of the database there."""
     c = config.load(path)
-    files = make_files(spark, c)
+    there = c.output / f"{c.name}.ltdb"
+    reuse = reusable(spark, c, str(there)) if incremental and there.exists() else {}
+    files = make_files(spark, c, reuse)
     written = publish(files, c.output)
     m = container.Manifest(files[f"{c.name}.ltdb"])
-    return {"manifest": str(c.output / f"{c.name}.ltdb"), "database_id": m.header.database_id.hex(), "tiles": len(m.tiles), "packs": len(m.packs), "bytes": sum(map(len, files.values())), "written": len(written)}
+    return {"manifest": str(c.output / f"{c.name}.ltdb"), "database_id": m.header.database_id.hex(), "tiles": len(m.tiles), "packs": len(m.packs), "bytes": sum(map(len, files.values())), "written": len(written), "made": 6 - len(reuse)}
 
 
 def violations(db: container.Database) -> DataFrame:
@@ -208,17 +236,20 @@ def validate(spark: SparkSession, path: str, full: bool = False) -> dict:
     return out
 
 
+def parsed(spark: SparkSession, key: str) -> tuple[int, int, int]:
+    """Face, level and Morton code of a canonical text."""
+    p = spark.range(1).select(keys.parse(F.lit(key)).alias("p")).select("p.*", keys.morton(F.col("p.x"), F.col("p.y")).alias("m")).first()
+    require(p["face"] is not None, "invalid_argument", f"no tile key: {key}")
+    return p["face"], p["level"], p["m"]
+
+
 def inspect(spark: SparkSession, path: str, key: str | None = None) -> dict:
     """Header figures, or the index entry of a tile by its canonical text."""
     db = container.Database(spark, path)
     h = db.header
     if key is None:
         return {"database_id": h.database_id.hex(), "tiles": h.tile_count, "packs": h.pack_count, "datasets": h.dataset_count, "max_level": h.max_level, "builder_sha256": h.builder_hash.hex()}
-    from facetlake.functions import keys
-
-    p = spark.range(1).select(keys.parse(F.lit(key)).alias("p")).select("p.*", keys.morton(F.col("p.x"), F.col("p.y")).alias("m")).first()
-    require(p["face"] is not None, "invalid_argument", f"no tile key: {key}")
-    row = db.find(p["face"], p["level"], p["m"])
+    row = db.find(*parsed(spark, key))
     require(row is not None, "not_found", f"no tile {key}", path=path)
     return {k: v.hex() if isinstance(v, bytes | bytearray) else v for k, v in row.asDict().items()}
 
@@ -230,6 +261,12 @@ def report(values: dict, as_json: bool) -> str:
     return "\n".join(f"{k}: {', '.join(map(str, v)) if isinstance(v, list) else v}" for k, v in values.items())
 
 
+def diff(spark: SparkSession, path: str, other: str) -> DataFrame:
+    """Tiles that differ between two databases: face, level, morton, change (added, removed, changed), by content."""
+    a, b = (container.Database(spark, p).table("tiles").withColumn("digest", F.hex("content_prefix")) for p in (path, other))
+    return index.diff(a, b)
+
+
 def export_csv(db: container.Database, path: str) -> None:
     """Elevations in metres of all samples as CSV, a folder for each face and level."""
     rows = db.samples().withColumn("metres", F.lit(-16384.0) + F.col("code") * 0.5)
@@ -239,3 +276,62 @@ def export_csv(db: container.Database, path: str) -> None:
 def export_raw(db: container.Database, face: int, level: int, morton: int) -> bytes:
     """The raster of a tile as 16-bit codes, least byte first, row by row."""
     return db.read_tile(face, level, morton)[ELEV]
+
+
+def points(db: container.Database, face: int, level: int, morton: int, step: int = 1) -> DataFrame:
+    """Every `step`-th sample of a tile's core with its place about the body's centre: j, i, px, py, pz in metres."""
+    own = db.samples(index.find(db.table("tiles"), face, level, morton)).withColumns({"j": F.col("y") - 1, "i": F.col("x") - 1})
+    own = own.filter(f"j between 0 and {CELLS} and i between 0 and {CELLS} and j % {step} = 0 and i % {step} = 0")
+    at = {n: projection.lattice(t(F.col("morton")), F.col(k), F.col("level")) for n, t, k in (("u", keys.x_of, "i"), ("v", keys.y_of, "j"))}
+    own = projection.inverse(own.withColumns(at))
+    x, y, z = projection.cartesian(F.col("lat"), F.col("lon"), elevation.dequantize(F.col("code")).cast("double"), db.header.radius)
+    return own.select("j", "i", x.alias("px"), y.alias("py"), z.alias("pz"))
+
+
+def export_mesh(db: container.Database, face: int, level: int, morton: int, kind: str = "obj", step: int = 1) -> str:
+    """A tile's surface as a text of kind obj or ply: corners row by row, and two triangles for each cell."""
+    require(kind in ("obj", "ply") and CELLS % step == 0, "invalid_argument", f"no mesh of kind {kind} with step {step}")
+    corners = [tuple(r) for r in points(db, face, level, morton, step).orderBy("j", "i").select("px", "py", "pz").collect()]
+    n = CELLS // step + 1
+    faces = [(a, a + 1, b) if k else (a + 1, b + 1, b) for r in range(n - 1) for c in range(n - 1) for a, b in ((r * n + c, (r + 1) * n + c),) for k in (1, 0)]
+    if kind == "obj":
+        return "".join([f"v {x:.3f} {y:.3f} {z:.3f}\n" for x, y, z in corners] + [f"f {a + 1} {b + 1} {c + 1}\n" for a, b, c in faces])
+    head = f"ply\nformat ascii 1.0\nelement vertex {len(corners)}\nproperty double x\nproperty double y\nproperty double z\nelement face {len(faces)}\nproperty list uchar int vertex_indices\nend_header\n"
+    return head + "".join([f"{x:.3f} {y:.3f} {z:.3f}\n" for x, y, z in corners] + [f"3 {a} {b} {c}\n" for a, b, c in faces])
+
+
+def export_image(db: container.Database, face: int, level: int, morton: int, channel: str = "elevation") -> bytes:
+    """A tile as a portable image: elevation as 16-bit grey, provenance as a colour for each source, quality as 8-bit grey."""
+    own = db.channels(index.find(db.table("tiles"), face, level, morton)).filter("error is null")
+    id_ = {"elevation": ELEV, "provenance": PRVN, "quality": QUAL}.get(channel)
+    require(id_ is not None, "invalid_argument", f"no channel {channel}")
+    row = own.filter(F.col("channel_id") == id_).first()
+    require(row is not None, "not_found", f"the tile has no channel {channel}", path=db.path)
+    data, w, h = bytes(row["data"]), row["width"], row["height"]
+    if channel == "elevation":
+        return b"P5\n%d %d\n65535\n" % (w, h) + np.frombuffer(data, "<u2").astype(">u2").tobytes()
+    if channel == "quality":
+        return b"P5\n%d %d\n255\n" % (w, h) + data
+    p = PROVENANCE.read(data)
+    ids = np.array([PALETTE.read(data, PROVENANCE.size + i * PALETTE.size).dataset_id for i in range(p.palette_count)], np.int64)
+    places = np.frombuffer(data, f"<u{p.index_width}", offset=PROVENANCE.size + p.palette_count * PALETTE.size) if p.flags & 1 else np.zeros(1, np.uint8)
+    w, h = (p.width, p.height) if p.flags & 1 else (1, 1)
+    colour = np.stack([ids * k % 251 for k in (37, 91, 173)], axis=1).astype(np.uint8)
+    return b"P6\n%d %d\n255\n" % (w, h) + colour[places].tobytes()
+
+
+def export(spark: SparkSession, path: str, key: str, kind: str, output: str) -> dict:
+    """Write a tile, named by its canonical text, to a file: csv, raw, obj, ply, or an image of elevation, provenance or quality."""
+    db = container.Database(spark, path)
+    face, level, morton = parsed(spark, key)
+    if kind == "csv":
+        rows = db.samples(index.find(db.table("tiles"), face, level, morton)).orderBy("y", "x").collect()
+        data = ("y,x,metres\n" + "".join(f"{r.y},{r.x},{-16384.0 + r.code * 0.5}\n" for r in rows)).encode()
+    elif kind == "raw":
+        data = export_raw(db, face, level, morton)
+    elif kind in ("obj", "ply"):
+        data = export_mesh(db, face, level, morton, kind).encode()
+    else:
+        data = export_image(db, face, level, morton, kind)
+    Path(output).write_bytes(data)
+    return {"output": output, "bytes": len(data)}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +60,14 @@ def apart(ranges: list[tuple[int, int]], what: str, **where) -> None:
     require(all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False)), "invalid_format", f"{what} overlap", **where)
 
 
+def by_pack(tiles: list) -> dict[int, list]:
+    """Tiles by pack, in their order."""
+    out: dict[int, list] = defaultdict(list)
+    for t in tiles:
+        out[t.pack_id].append(t)
+    return out
+
+
 class Manifest:
     """All tables of a manifest, checked as they are read; the first failed check raises."""
 
@@ -181,8 +190,9 @@ class Manifest:
             require(r.pack_id in packs and r.primary_dataset in ids, "invalid_format", "tile's pack or dataset", **where)
             p = packs[r.pack_id]
             require(PACK_HEADER.size <= r.payload_offset <= p.file_bytes and r.stored_bytes <= p.file_bytes - r.payload_offset, "invalid_format", "payload range", **where)
+        of_pack = by_pack(rows)
         for p in self.packs:
-            own = [r for r in rows if r.pack_id == p.pack_id]
+            own = of_pack[p.pack_id]
             require(len(own) == p.tile_count and own[0].key == p.first_key and own[-1].key == p.last_key, "invalid_format", f"tiles of pack {p.pack_id}", path=self.path)
             apart([(r.payload_offset, r.payload_offset + r.stored_bytes) for r in own], "payloads", path=self.path)
         return rows
@@ -340,10 +350,11 @@ class Database:
         """
         wanted = None if tiles is None else {r[0] for r in tiles.select("key_hex").distinct().collect()}
         m = self.manifest
-        by_pack = {p.pack_id: (p, [t for t in m.tiles if t.pack_id == p.pack_id]) for p in m.packs}
+        of_pack = by_pack(m.tiles)
         base = self.path.rsplit("/", 1)[0] if "/" in self.path else "."
         jobs = {}
-        for p, entries in by_pack.values():
+        for p in m.packs:
+            entries = of_pack[p.pack_id]
             keep = [e for e in entries if wanted is None or f"{e.key:016x}" in wanted]
             if keep:
                 jobs[m.strings[p.path_id]] = (tuple(p), [tuple(e) for e in entries], {e.key for e in keep})
@@ -390,6 +401,25 @@ class Database:
                 raise Error(code, message, path=self.path)
         return {r["channel_id"]: bytes(r["data"]) for r in rows}
 
+    def provenance(self, tiles: DataFrame | None = None) -> DataFrame:
+        """Palettes and maps of provenance channels: face, level, morton, palette, map (null without one)."""
+        own = self.channels(tiles).filter(f"channel_id = {PRVN}").select("key_hex", "data")
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            entry = pa.struct([("dataset_id", pa.int64()), ("fraction", pa.float32()), ("resolution_m", pa.float32())])
+            schema = pa.schema([("face", pa.int32()), ("level", pa.int32()), ("morton", pa.int64()), ("palette", pa.list_(entry)), ("map", pa.list_(pa.int32()))])
+            for batch in batches:
+                rows = []
+                for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    p = PROVENANCE.read(data)
+                    palette = [PALETTE.read(data, PROVENANCE.size + i * PALETTE.size) for i in range(p.palette_count)]
+                    at = PROVENANCE.size + p.palette_count * PALETTE.size
+                    places = np.frombuffer(data, f"<u{p.index_width}", offset=at).tolist() if p.flags & 1 else None
+                    rows.append((*key_parts(int(name, 16)), [(e.dataset_id, e.fraction, e.resolution) for e in palette], places))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+        return own.mapInArrow(read, "face int, level int, morton long, palette array<struct<dataset_id:long,fraction:float,resolution_m:float>>, map array<int>")
+
     def samples(self, tiles: DataFrame | None = None) -> DataFrame:
         """Elevation codes in long form: face, level, morton, y, x, code."""
         elev = self.channels(tiles).filter(f"channel_id = {ELEV}").select("key_hex", "width", "height", "data")
