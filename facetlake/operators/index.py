@@ -175,38 +175,32 @@ def sparse_plan(footprints: DataFrame, level: Column) -> DataFrame:
     return with_ancestors(below.distinct())
 
 
-def balanced(leaves: DataFrame, deepest: int) -> DataFrame:
-    """Leaves (face, level, morton) subdivided until no two that share an edge are more than one level apart, with derived: not in leaves.
+def balanced(tiles: DataFrame, deepest: int) -> DataFrame:
+    """Leaves (face, level, morton) subdivided until no two that share an edge are more than one level apart, with derived: not in tiles.
 
     From the deepest level up, the parents of a level's neighbours must be tiles themselves where some leaf covers
-    them; a tile that is needed comes with its siblings. At most `deepest` rounds, none of which collects.
+    them; a tile that is needed comes with its siblings and those of all above it, up to that leaf. One round a
+    level, none of which collects; where the session has a checkpoint folder, each cuts the lineage there.
     """
-    own = leaves.select(*KEY).distinct()
-    need = {level: own.filter(F.col("level") == level) for level in range(deepest + 1)}
-    up = own.select("face", F.explode(keys.ancestors(F.col("level"), F.col("morton"))).alias("a")).select("face", "a.*").distinct()
-    nodes = {level: up.filter(F.col("level") == level) for level in range(deepest + 1)}
+    cut = tiles.sparkSession.sparkContext.getCheckpointDir() is not None
+    own = tiles.select(*KEY).distinct()
     roots = own.select(F.col("face").alias("_f"), F.col("level").alias("_l"), F.col("morton").alias("_m"))
+    above = (F.col("face") == F.col("_f")) & (F.col("a.level") == F.col("_l")) & (F.col("a.morton") == F.col("_m"))
+    up = F.explode(keys.ancestors(F.col("level"), F.col("morton"))).alias("a")
+
+    def below_a_leaf(some: DataFrame) -> DataFrame:
+        return some.select(*KEY, up).filter("a.level < level").join(roots, above, "left_semi").select(*KEY)
+
+    nodes = with_ancestors(own)
     for level in range(deepest, 1, -1):
-        at = nodes[level].withColumns({"x": keys.x_of(F.col("morton")), "y": keys.y_of(F.col("morton"))})
-        wanted = topology.neighbors(at).select(F.col("nbr_face").alias("face"), keys.right(keys.morton(F.col("nbr_x"), F.col("nbr_y")), 4).alias("_up")).distinct()
-        # Siblings of the neighbours' parents, one level up, where a leaf above them covers the place.
-        wanted = wanted.select("face", F.lit(level - 1).alias("level"), F.explode(F.sequence(4 * F.col("_up"), 4 * F.col("_up") + 3)).alias("morton"))
-        over = wanted.withColumn("a", F.explode(keys.ancestors(F.col("level"), F.col("morton")))).filter("a.level < level")
-        over = over.join(roots, (F.col("face") == F.col("_f")) & (F.col("a.level") == F.col("_l")) & (F.col("a.morton") == F.col("_m")), "left_semi").select(*KEY)
-        for deep in range(level - 1, 0, -1):
-            add = over.select("face", F.lit(deep).alias("level"), keys.right(F.col("morton"), 2 * (level - 1 - deep)).alias("m"))
-            add = add.select("face", "level", F.explode(F.sequence(4 * keys.right(F.col("m"), 2), 4 * keys.right(F.col("m"), 2) + 3)).alias("morton"))
-            add = add.withColumn("a", F.explode(keys.ancestors(F.col("level"), F.col("morton")))).filter("a.level < level")
-            add = add.join(roots, (F.col("face") == F.col("_f")) & (F.col("a.level") == F.col("_l")) & (F.col("a.morton") == F.col("_m")), "left_semi").select(*KEY)
-            nodes[deep] = nodes[deep].unionByName(add).distinct()
-    every = nodes[0]
-    for level in range(1, deepest + 1):
-        every = every.unionByName(nodes[level])
-    out = leaves(every.distinct())
-    marks = need[0]
-    for level in range(1, deepest + 1):
-        marks = marks.unionByName(need[level])
-    return out.join(marks.withColumn("_own", F.lit(True)), list(KEY), "left").withColumn("derived", F.col("_own").isNull()).drop("_own")
+        at = nodes.filter(F.col("level") == level).withColumns({"x": keys.x_of(F.col("morton")), "y": keys.y_of(F.col("morton"))})
+        beside = topology.neighbors(at).select(F.col("nbr_face").alias("face"), F.lit(level - 1).alias("level"), keys.right(keys.morton(F.col("nbr_x"), F.col("nbr_y")), 2).alias("morton"))
+        needed = below_a_leaf(beside.distinct()).distinct().select("face", up).select("face", "a.level", "a.morton").filter("level > 0").distinct()
+        first = 4 * keys.right(F.col("morton"), 2)
+        siblings = needed.select("face", "level", F.explode(F.sequence(first, first + 3)).alias("morton")).distinct()
+        nodes = nodes.unionByName(below_a_leaf(siblings)).distinct()
+        nodes = nodes.checkpoint() if cut else nodes
+    return leaves(nodes).join(own.withColumn("_own", F.lit(True)), list(KEY), "left").withColumn("derived", F.col("_own").isNull()).drop("_own")
 
 
 def level_stats(index: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Named queries over the driver's tables, each beside the SQL it equals."""
 
-from facetlake.plans import index_queries, key_queries, raster_queries, registry_queries, source_queries
+from facetlake.plans import container_queries, index_queries, key_queries, raster_queries, registry_queries, source_queries
 from facetlake.plans.carriers import ORACLES, QUERIES
 
-MODULES = (key_queries, index_queries, registry_queries, raster_queries, source_queries)
+MODULES = (key_queries, index_queries, registry_queries, raster_queries, source_queries, container_queries)
 
 
 def all_queries():
