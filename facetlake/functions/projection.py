@@ -40,13 +40,17 @@ def lattice(tile: Column, sample: Column, level: Column) -> Column:
     return F.when(good, upper.cast("double") / span.cast("double"))
 
 
-def strongest_face(x: Column, y: Column, z: Column) -> Column:
-    """The face of the strongest axis; one must beat the best before it by EDGE, so ties go to the lower face."""
-    best, face = x, F.lit(0)
-    for k, s in enumerate((y, -x, -y, z, -z), 1):
+def _with_face(df: DataFrame, x: str, y: str, z: str) -> DataFrame:
+    """df with face, of the strongest axis; one must beat the best before it by EDGE, so ties go to the lower face.
+
+    Each step is a column, so that what it compares is not written out again in the next.
+    """
+    out, best, face = df, F.col(x), F.lit(0)
+    for k, s in enumerate((F.col(y), -F.col(x), -F.col(y), F.col(z), -F.col(z)), 1):
         wins = s > best + _d(EDGE)
-        best, face = F.when(wins, s).otherwise(best), F.when(wins, k).otherwise(face)
-    return face
+        out = out.withColumns({f"_best{k}": F.when(wins, s).otherwise(best), f"_face{k}": F.when(wins, k).otherwise(face)})
+        best, face = F.col(f"_best{k}"), F.col(f"_face{k}")
+    return out.withColumn("face", face).drop(*[f"_{n}{k}" for n in ("best", "face") for k in range(1, 6)])
 
 
 def forward(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -55,28 +59,18 @@ def forward(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     good = c(lat).between(-HALF, HALF) & (F.abs(c(lon)) < float("inf")) & ~F.isnan(lat) & ~F.isnan(lon)
     out = df.withColumn("_lon", F.when(good, normal_longitude(c(lon)))).withColumn("_lat", F.when(good, c(lat)))
     out = out.withColumns({"_x": F.cos("_lat") * F.cos("_lon"), "_y": F.cos("_lat") * F.sin("_lon"), "_z": F.sin("_lat")})
-    out = out.withColumn("face", F.when(c("_lat") == HALF, 4).when(c("_lat") == -HALF, 5).when(c("_lat").isNotNull(), strongest_face(c("_x"), c("_y"), c("_z"))))
-    polar = c("face") >= 4
+    out = _with_face(out, "_x", "_y", "_z")
+    out = out.withColumn("face", F.when(c("_lat") == HALF, 4).when(c("_lat") == -HALF, 5).when(c("_lat").isNotNull(), c("face")))
     normal = F.when(c("face") == 0, c("_x")).when(c("face") == 1, c("_y")).when(c("face") == 2, -c("_x")).otherwise(-c("_y"))
     side = F.when(c("face") == 0, c("_y")).when(c("face") == 1, -c("_x")).when(c("face") == 2, -c("_y")).otherwise(c("_x"))
     out = out.withColumn("_phi", F.when(c("face") == 4, _d(HALF) - c("_lat")).when(c("face") == 5, _d(HALF) + c("_lat")).otherwise(F.acos(_clamp(normal))))
-    # The angle about the face's middle: on the polar faces the longitude, seen from the face.
-    out = out.withColumn("_t", F.when(polar, c("_lon")).when(c("_phi") < CENTRE, _d(0)).otherwise(F.atan2(c("_z"), side)))
+    # The angle about the face's middle from its first axis: on the polar faces the longitude, turned by a quarter, and seen from the face.
+    out = out.withColumn("_a", F.when(c("face") == 4, c("_lon") - HALF).when(c("face") == 5, _d(HALF) - c("_lon")).when(c("_phi") < CENTRE, _d(0)).otherwise(F.atan2(c("_z"), side)))
+    out = out.withColumn("_t", F.when(c("_a") > pi, c("_a") - 2 * pi).when(c("_a") <= -pi, c("_a") + 2 * pi).otherwise(c("_a")))
     t, wide = c("_t"), HALF + QUARTER
-    east, back, west = t.between(QUARTER, wide), (t > wide) | (t <= -wide), (t > -wide) & (t <= -QUARTER)
-    area = (
-        F.when(c("face") == 4, F.when(east, 0).when(back, 1).when(west, 2).otherwise(3))
-        .when(c("face") == 5, F.when(east, 0).when((t < QUARTER) & (t >= -QUARTER), 1).when((t < -QUARTER) & (t >= -wide), 2).otherwise(3))
-        .otherwise(F.when(F.abs(t) <= QUARTER, 0).when((t > QUARTER) & (t <= wide), 1).when(back, 2).otherwise(3))
-    )
-    out = out.withColumn("_area", area)
+    out = out.withColumn("_area", F.when(F.abs(t) <= QUARTER, 0).when((t > QUARTER) & (t <= wide), 1).when((t > wide) | (t <= -wide), 2).otherwise(3))
     a = c("_area")
-    theta = (
-        F.when(c("face") == 4, F.when(a == 0, t - HALF).when(a == 1, F.when(t > 0, t - pi).otherwise(t + pi)).when(a == 2, t + HALF).otherwise(t))
-        .when(c("face") == 5, F.when(a == 0, -t + HALF).when(a == 1, -t).when(a == 2, -t - HALF).otherwise(F.when(t > 0, -t + pi).otherwise(-t - pi)))
-        .otherwise(F.when(a == 0, t).when(a == 1, t - HALF).when(a == 2, F.when(t >= 0, t - pi).otherwise(t + pi)).otherwise(t + HALF))
-    )
-    out = out.withColumn("_theta", theta)
+    out = out.withColumn("_theta", F.when(a == 0, t).when(a == 1, t - HALF).when(a == 3, t + HALF).when(t >= 0, t - pi).otherwise(t + pi))
     th = c("_theta")
     out = out.withColumn("_mu", F.atan(_d(12 / pi) * (th + F.acos(F.sin(th) * _d(ROOT)) - _d(HALF))))
     out = out.withColumn("_den", F.cos("_mu") * F.cos("_mu") * (1 - F.cos(F.atan(1 / F.cos(th)))))
@@ -84,7 +78,7 @@ def forward(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     pole = F.abs(c("_lat")) == HALF
     for name, f in (("u", F.cos), ("v", F.sin)):
         out = out.withColumn(name, F.when(pole, _d(0)).when(c("face").isNotNull(), _clamp(c("_r") * f("_mu"))))
-    return out.drop("_lon", "_lat", "_x", "_y", "_z", "_phi", "_t", "_area", "_theta", "_mu", "_den", "_r")
+    return out.drop("_lon", "_lat", "_x", "_y", "_z", "_phi", "_a", "_t", "_area", "_theta", "_mu", "_den", "_r")
 
 
 def inverse(df: DataFrame, face: str = "face", u: str = "u", v: str = "v") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from facetlake.functions import checks, hashing, keys
@@ -210,9 +210,10 @@ PALETTE = "pal as (select l_orderkey, l_suppkey, count(*)::double / sum(count(*)
 
 
 def _palette(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").groupBy("l_orderkey", "l_suppkey").agg(F.count("*").alias("c"))
-    total = li.groupBy("l_orderkey").agg(F.sum("c").alias("t"))
-    return li.join(total, "l_orderkey").select("l_orderkey", "l_suppkey", (F.col("c").cast("double") / F.col("t")).alias("frac"))
+    # One shuffle, by order, serves the counts, the totals, and what is grouped by order later.
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").repartition("l_orderkey").groupBy("l_orderkey", "l_suppkey").agg(F.count("*").alias("c"))
+    total = F.sum("c").over(Window.partitionBy("l_orderkey"))
+    return li.select("l_orderkey", "l_suppkey", (F.col("c").cast("double") / total).alias("frac"))
 
 
 @query(f"with {PALETTE} select l_orderkey, l_suppkey dominant, round(frac * 1e6)::bigint share from pal qualify row_number() over (partition by l_orderkey order by frac desc, l_suppkey) = 1")
