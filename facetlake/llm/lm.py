@@ -1,8 +1,8 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model is counted over chosen documents, the background model over all. Both are
-bigram models that back off to unigrams, with a count for every distinct word, pair and history of
-the corpus, so that the estimates after each history sum to one over the shared vocabulary; grams
+bigram models that back off to unigrams, with a count for every distinct word and pair of the
+corpus, and of every word as a history, where another follows it, so that the estimates after each history sum to one over the shared vocabulary; grams
 are told apart by 63-bit hashes, of which two among 10**9 meet with a chance of one in twenty.
 
 Documents are dealt into blocks of text. A block asks for its distinct grams, with its own
@@ -30,23 +30,21 @@ WORDS, BACKOFF = 1 << 18, 50.0
 #: Bytes of a block, each row as ROW more; blocks to a shard.
 BLOCK, ROW, BLOCKS = 8 << 20, 64, 2
 STEP = 1 << 21
-_PAIR = randoms(81, 3) | np.uint64(1)
+_PAIR = randoms(81, 2) | np.uint64(1)
 _ONE = np.uint64(1)
 
 
 def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all words: rows, word keys (even), pair keys and history keys (odd).
-
-    The first word of a row pairs with its start, whose history is thus the rows with words; the history of a
-    word leaves out where it ends a row, as no word follows there.
-    """
+    """Of all words: rows, word keys (even), pair keys (odd), and whether a word ends its row; the first of a row pairs with its start."""
     words = Words(raw, offsets, SPACES)
     h, rows = words.hashes(), words.rows()
     before = np.zeros_like(h)
     before[1:] = h[:-1]
     first = words.first[:-1][words.counts > 0]
     before[first] = 1
-    return rows, h & ~_ONE, mix(before * _PAIR[0] + h * _PAIR[1]) | _ONE, mix(before * _PAIR[2] + _PAIR[0]) | _ONE
+    last = np.zeros(len(h), bool)
+    last[words.first[1:][words.counts > 0] - 1] = True
+    return rows, h & ~_ONE, mix(before * _PAIR[0] + h * _PAIR[1]) | _ONE, last
 
 
 def all_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -56,7 +54,7 @@ def all_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     for a, b in row_blocks(offsets, STEP):
         rows, *keys = grams(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         parts.append((rows + a, *keys))
-    none = (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 3)
+    none = (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * 2, np.zeros(0, bool))
     return tuple(np.concatenate(x) for x in zip(none, *parts, strict=True))
 
 
@@ -95,7 +93,7 @@ def blocked(docs: DataFrame) -> DataFrame:
 
 
 def requests(blocks: DataFrame) -> DataFrame:
-    """For each run of rows of a block that one task reads, and each shard: the run's distinct keys, and their counts in all and in target rows.
+    """For each run of rows of a block that one task reads, and each shard: the run's distinct keys, and their counts in all and in target rows, of all (n, t) and at a row's end (e, f).
 
     A scan may split a block, so a request names its rows: from `first` on, `rows` of them.
     """
@@ -105,17 +103,19 @@ def requests(blocks: DataFrame) -> DataFrame:
 
     def request(run: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(run)
-        rows, *grams_ = all_grams(t["text"])
+        rows, word, pair, last = all_grams(t["text"])
         own = t["target"].to_numpy().astype(bool)[rows]
-        keys, n = distinct(np.concatenate(grams_))
-        some, k = distinct(np.concatenate([x[own] for x in grams_]))
-        of = np.zeros(len(keys), np.int64)
-        of[np.searchsorted(keys, some)] = k
+        keys, n = distinct(np.concatenate([word, pair]))
+        counts = [n]
+        for part in (np.concatenate([word[own], pair[own]]), word[last], word[last & own]):
+            some, k = distinct(part)
+            counts.append(np.zeros(len(keys), np.int64))
+            counts[-1][np.searchsorted(keys, some)] = k
         cut = np.append(np.searchsorted(keys, starts), len(keys))
         parts = list(zip(cut[:-1], cut[1:], strict=True))
         same = [pa.array([x] * len(parts), pa.int64()) for x in (t["block"][0].as_py(), t["row"][0].as_py(), t.num_rows)]
-        blobs = [[f(x[a:b]) for a, b in parts] for x, f in ((keys, np.ndarray.tobytes), (n, packed), (of, packed))]
-        return pa.RecordBatch.from_arrays([*same, pa.array(range(len(parts)), pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]], ["block", "first", "rows", "shard", "keys", "n", "t"])
+        blobs = [[f(x[a:b]) for a, b in parts] for x, f in ((keys, np.ndarray.tobytes), *((x, packed) for x in counts))]
+        return pa.RecordBatch.from_arrays([*same, pa.array(range(len(parts)), pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]], ["block", "first", "rows", "shard", "keys", "n", "t", "e", "f"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, last = [], None
@@ -133,28 +133,27 @@ def requests(blocks: DataFrame) -> DataFrame:
         if run:
             yield request(run)
 
-    return blocks.select("block", "row", "text", "target").mapInArrow(ask, "block long, first long, rows long, shard long, keys binary, n binary, t binary")
+    return blocks.select("block", "row", "text", "target").mapInArrow(ask, "block long, first long, rows long, shard long, keys binary, n binary, t binary, e binary, f binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """Each request, written, with the whole corpus' counts of its keys; a shard's first row has its distinct words, and its words in all and in target rows."""
+    """Each request, written, with the whole corpus' counts of its keys in all (n) and in target rows (t), and of words that another follows (h, g).
+
+    A shard's first row has its distinct words, its words in all and in target rows, and the rows that end in them.
+    """
 
     def add(shard: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, np.uint64) for x in shard["keys"].to_pylist()]
         cut = np.cumsum([0, *map(len, keys)])
         known, at = np.unique(np.concatenate(keys), return_inverse=True)
-        word, out, sums = known & _ONE == 0, [], []
-        for name in ("n", "t"):
-            part = np.concatenate([unpacked(x) for x in shard[name].to_pylist()])
-            total = np.zeros(len(known), np.int64)
-            np.add.at(total, at, part)
-            out.append(pa.array([packed(total[at[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
-            sums.append(int(total[word].sum()))
+        word = known & _ONE == 0
+        n, t, e, f = (np.bincount(at, np.concatenate([unpacked(x) for x in shard[name].to_pylist()]), len(known)).astype(np.int64) for name in "ntef")
+        out = [pa.array([packed(x[at[a:b]]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (n, t, np.where(word, n - e, 0), np.where(word, t - f, 0))]
         rest = [0] * (len(keys) - 1)
-        stats = [pa.array([x, *rest], pa.int64()) for x in (int(word.sum()), *sums)]
-        return pa.table([*[shard[c] for c in ("block", "first", "rows", "shard")], *out, *stats], names=["block", "first", "rows", "shard", "n", "t", "vocabulary", "words", "target_words"])
+        stats = [pa.array([int(x), *rest], pa.int64()) for x in (word.sum(), n[word].sum(), t[word].sum(), e.sum(), f.sum())]
+        return pa.table([*[shard[c] for c in ("block", "first", "rows", "shard")], *out, *stats], names=["block", "first", "rows", "shard", "n", "t", "h", "g", "vocabulary", "words", "target_words", "starts", "target_starts"])
 
-    schema = "block long, first long, rows long, shard long, n binary, t binary, vocabulary long, words long, target_words long"
+    schema = "block long, first long, rows long, shard long, n binary, t binary, h binary, g binary, vocabulary long, words long, target_words long, starts long, target_starts long"
     return written(asked.groupBy("shard").applyInArrow(add, schema), "answers")
 
 
@@ -163,6 +162,11 @@ def sizes(answered: DataFrame) -> tuple[int, int, int]:
     return tuple(x or 0 for x in answered.agg(F.sum("vocabulary"), F.sum("target_words"), F.sum("words")).first())
 
 
+def starts(answered: DataFrame) -> tuple[int, int]:
+    """Rows with words of the target's and of all documents: how often a first word can stand."""
+    return tuple(x or 0 for x in answered.agg(F.sum("target_starts"), F.sum("starts")).first())
+
+
 def counts(docs: DataFrame) -> np.ndarray:
     """A row each, the words of the target's and of all documents, from (text, target)."""
     return np.array(sizes(answers(requests(blocked(docs))))[1:]).reshape(2, 1)
@@ -190,6 +194,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
     blocks = blocked(marked)
     answered = answers(requests(blocks))
     vocabulary, *totals = sizes(answered)
+    rows_of = starts(answered)
     vocabulary = max(vocabulary, WORDS)
     names = ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
 
@@ -200,18 +205,21 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
         for first in np.unique(firsts):
             asked = known.filter(pa.array(firsts == first))
             some = texts.slice(first - start, asked["rows"][0].as_py())
-            rows, *grams_ = all_grams(some["text"])
-            word, pair, history = np.split(np.unique(np.concatenate(grams_), return_inverse=True)[1], 3)
+            rows, word, pair, _ = all_grams(some["text"])
+            word, pair = np.split(np.unique(np.concatenate([word, pair]), return_inverse=True)[1], 2)
+            begins = np.append(True, rows[1:] != rows[:-1])[: len(rows)]
             n = np.bincount(rows, minlength=some.num_rows)
             loss = []
-            for name, total in zip(("t", "n"), totals, strict=True):
-                table = np.concatenate([unpacked(x) for x in asked[name].to_pylist()])
-                each = losses(table[word], table[history], table[pair], total, vocabulary)
+            for name, follows, total, all_rows in zip("tn", "gh", totals, rows_of, strict=True):
+                table, seen = (np.concatenate([unpacked(x) for x in asked[c].to_pylist()]) for c in (name, follows))
+                # Before a word stands the one before it, where that is followed, or a row's start.
+                seen = np.where(begins, all_rows, seen[np.roll(word, 1)])
+                each = losses(table[word], seen, table[pair], total, vocabulary)
                 loss.append(np.bincount(rows, each, some.num_rows) / np.maximum(n, 1))
             scored = [pa.array(x, pa.float64(), mask=n == 0) for x in (*loss, loss[0] - loss[1])]
             out.append(pa.table([some["doc_id"], pa.array(n, pa.int64()), *scored], names=names))
         return pa.concat_tables(out)
 
     texts = blocks.select("block", "row", "doc_id", "text").groupBy("block")
-    known = answered.select("block", "first", "rows", "shard", "n", "t").groupBy("block")
+    known = answered.select("block", "first", "rows", "shard", "n", "t", "h", "g").groupBy("block")
     return texts.cogroup(known).applyInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

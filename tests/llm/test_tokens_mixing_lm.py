@@ -149,18 +149,19 @@ def test_lm_against_brute_force(spark):
 def test_lm_estimates_after_a_history_sum_to_one(spark):
     rng = random.Random(16)
     texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 6))) for _ in range(40)]
-    raw = np.frombuffer("".join(texts).encode(), np.uint8)
-    offsets = np.cumsum([0, *(len(t) for t in texts)])
-    _, word, pair, hist = lm.grams(raw, offsets)
-    keys, n = lm.distinct(np.concatenate([word, pair, hist]))
-    count = dict(zip(keys.tolist(), n.tolist()))
+    df = spark.createDataFrame([(t, i % 2 == 0) for i, t in enumerate(texts)], "text string, target boolean").repartition(3)
+    answered = lm.answers(lm.requests(lm.blocked(df)))
     flat = [w for t in texts for w in t.split()]
+    assert lm.sizes(answered) == (4, sum(len(t.split()) for t in texts[::2]), len(flat)) and lm.starts(answered) == (20, 40)
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    _, word, pair, last = lm.grams(raw, np.cumsum([0, *(len(t) for t in texts)]))
     before = [b for t in texts for b in [None, *t.split()][:-1]]
-    uni, total = {w: count[k] for w, k in zip(flat, word.tolist())}, len(flat)
+    uni, joint = ({x: flat.count(x) for x in "abcd"}, {x: [*zip(before, flat)].count(x) for x in zip(before, flat)})
+    assert len(set(word.tolist())) == 4 and len(set(pair.tolist())) == len(joint) and last.sum() == 40
     for b in {*before}:
-        seen = next(count[k] for x, k in zip(before, hist.tolist()) if x == b)
-        joint = {w: next((count[k] for x, y, k in zip(before, flat, pair.tolist()) if (x, y) == (b, w)), 0) for w in uni}
-        p = [np.exp(-lm.losses(np.array([uni[w]]), np.array([seen]), np.array([joint[w]]), total, len(uni))[0]) for w in uni]
+        seen = 40 if b is None else sum(x == b for x in before)
+        assert b is None or seen == uni[b] - sum(t.split()[-1] == b for t in texts)
+        p = [np.exp(-lm.losses(np.array([uni[w]]), np.array([seen]), np.array([joint.get((b, w), 0)]), len(flat), 4)[0]) for w in uni]
         assert abs(sum(p) - 1) < 1e-9
 
 
