@@ -34,7 +34,7 @@ CHUNK, BITS = 5, 16
 #: Chance that a pair at the threshold lies beyond the signature distance.
 MISS = 1e-5
 #: Bytes of text in a step, and members of a key that one task compares with each other.
-SIGN_STEP, BLOCK = 1 << 18, 4096
+SIGN_STEP, BLOCK = 1 << 18, 1024
 #: Members of keys that one task takes, on average, and pairs that it compares at a time.
 ROWS, PAIRS = 200_000, 1 << 18
 #: Members of a family in a block whose full sets one task holds.
