@@ -38,7 +38,7 @@ SIGN_STEP, BLOCK = 1 << 18, 1024
 #: Members of keys that one task takes, on average, and pairs that it compares at a time.
 ROWS, PAIRS = 200_000, 1 << 18
 #: Members of a family in a block whose full sets one task holds.
-FAMILY = 2048
+FAMILY = 512
 _LOW = np.uint64((1 << BITS) - 1)
 
 
