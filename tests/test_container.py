@@ -40,6 +40,7 @@ def test_identity(tmp_path):
 
 
 def test_builder_identity(tmp_path):
+    #: A name and the hashes that are known for it.
     (tmp_path / "c.toml").write_text('[database]\nname = "MoonSynthetic"\n')
     assert config.identify(config.load(tmp_path / "c.toml")).builder_hash.hex() == "0bf5800676f64afcf1589d866298ae6adca5bd0699e3c2c229bb4455955af181"
     d = builder.dataset(config.load(tmp_path / "c.toml"))
