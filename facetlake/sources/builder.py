@@ -102,15 +102,16 @@ def reusable(spark: SparkSession, c: config.Config, path: str) -> dict[int, dict
     """By face, the tiles of an older database whose dependency hash is that of the configuration, as encoded_tiles() has them."""
     semantic, d = config.identify(c).semantic_hash, dataset(c)
     db = container.Database(spark, path)
-    folder, packs = Path(path).parent, {p.pack_id: p for p in db.manifest.packs}
+    m = db.manifest
+    folder, packs = Path(path).parent, {p.pack_id: (p, own) for p, own in zip(m.packs, m.of_pack, strict=True)}
     out = {}
-    for t in db.manifest.tiles:
+    for t in container.entries(m.tiles[container.key_parts(m.tiles["key"])[1] == 0].tobytes()):
         face, level, _ = container.key_parts(t.key)
         dependency = dependency_hash(t.key, semantic, d)
         if level == 0 and t.dependency_prefix == dependency[:8]:
-            pack = packs[t.pack_id]
-            data = (folder / db.manifest.strings[pack.path_id]).read_bytes()
-            container.check_pack(data, pack, [x for x in db.manifest.tiles if x.pack_id == t.pack_id], path)
+            pack, own = packs[t.pack_id]
+            data = (folder / m.strings[pack.path_id]).read_bytes()
+            container.check_pack(data, pack, container.entries(m.tiles[own].tobytes()), path)
             payload = data[t.payload_offset : t.payload_offset + t.stored_bytes]
             container.decode_tile(payload, t, path)
             out[face] = {"face": face, "payload": payload, "lo": t.min_code, "hi": t.max_code, "dependency": dependency, "content": t.content_prefix, "logical": t.logical_bytes}
@@ -280,7 +281,7 @@ def export_raw(db: container.Database, face: int, level: int, morton: int) -> by
 
 def points(db: container.Database, face: int, level: int, morton: int, step: int = 1) -> DataFrame:
     """Every `step`-th sample of a tile's core with its place about the body's centre: j, i, px, py, pz in metres."""
-    own = db.samples(index.find(db.table("tiles"), face, level, morton)).withColumns({"j": F.col("y") - 1, "i": F.col("x") - 1})
+    own = db.samples(db.tile(face, level, morton)).withColumns({"j": F.col("y") - 1, "i": F.col("x") - 1})
     own = own.filter(f"j between 0 and {CELLS} and i between 0 and {CELLS} and j % {step} = 0 and i % {step} = 0")
     at = {n: projection.lattice(t(F.col("morton")), F.col(k), F.col("level")) for n, t, k in (("u", keys.x_of, "i"), ("v", keys.y_of, "j"))}
     own = projection.inverse(own.withColumns(at))

@@ -1,8 +1,10 @@
 """Reader of the binary tile container.
 
-The manifest is one small file of registries; it is parsed and checked as a whole, and its tables
-become DataFrames with explicit schemas. Packs are read as binary files by the executors, one hash
-for each pack however many of its tiles are asked for, and payloads are decoded there.
+The manifest is one file of registries; it is parsed and checked as a whole, and its tables become
+DataFrames with explicit schemas. The tile index stays what it is in the file, 80 bytes a tile, as a
+sorted array: keys and subtrees are slices of it, and a pack's tasks get the entries of their packs.
+Packs are read as binary files by the executors, one hash for each pack however many of its tiles are
+asked for, and payloads are decoded there, a few at a time.
 """
 
 from __future__ import annotations
@@ -10,8 +12,8 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,12 @@ SCHEMAS = {
     "packs": "pack_id long, path string, codec int, tile_count long, file_bytes long, first_key string, last_key string, sha256 binary",
     "tiles": "face int, level int, morton long, key_hex string, pack_id long, flags long, payload_offset long, stored_bytes long, logical_bytes long, min_code int, max_code int, primary_dataset long, resolution_mm long, error_mm long, child_mask int, channel_count int, payload_crc32c long, content_prefix binary, dependency_prefix binary",
 }
+#: An entry of the tile index as one element of an array; its fields are those of TILE.
+ENTRY = np.dtype(list(zip(TILE.type._fields, "<u8 <u4 <u4 <u8 <u4 <u4 <u2 <u2 <u4 <u4 <u4 u1 u1 <u2 <u4 V16 V8".split(), strict=True)))
+#: Bytes of index entries that one scan of packs carries to its tasks; more of them are dealt over several scans.
+SCAN_BYTES = 64 << 20
+#: Decoded bytes of one Arrow batch, but for its last tile.
+BATCH_BYTES = 16 << 20
 CHANNELS = "key_hex string, channel_id int, element int, codec int, predictor int, width int, height int, flags long, parameter1 long, data binary, error string"
 
 
@@ -60,12 +68,17 @@ def apart(ranges: list[tuple[int, int]], what: str, **where) -> None:
     require(all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:], strict=False)), "invalid_format", f"{what} overlap", **where)
 
 
-def by_pack(tiles: list) -> dict[int, list]:
-    """Tiles by pack, in their order."""
-    out: dict[int, list] = defaultdict(list)
-    for t in tiles:
-        out[t.pack_id].append(t)
-    return out
+def entries(data: bytes) -> list:
+    """Index entries one by one."""
+    return [TILE.type(*t) for t in TILE.struct.iter_unpack(data)]
+
+
+def found(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where values stand among sorted ones (some place, if they do not), and whether they do."""
+    if not len(among):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return at, among[at] == values
 
 
 class Manifest:
@@ -177,25 +190,51 @@ class Manifest:
             require(r.first_key <= r.last_key and key_parts(r.first_key)[:2] == key_parts(r.last_key)[:2], "invalid_format", "pack bounds", path=self.path)
         return rows
 
-    def _tiles(self, data: bytes) -> list:
-        rows = self._records(TILE, data, self.header.tile_count, "tiles")
-        increasing([r.key for r in rows], "tile keys", path=self.path)
-        packs, ids = {p.pack_id: p for p in self.packs}, {d["id"] for d in self.datasets}
-        for r in rows:
-            where = {"path": self.path, "tile_key": f"{r.key:016x}"}
-            check_key(r.key, **where)
-            require(r.flags & ~3 == 0 and r.child_mask & 0xF0 == 0, "unsupported_feature", "tile flags", **where)
-            require(r.reserved == 0 and r.min_code <= r.max_code and r.payload_offset % 8 == 0, "invalid_format", "tile record", **where)
-            require(key_parts(r.key)[1] <= self.header.max_level, "invalid_format", "tile level", **where)
-            require(r.pack_id in packs and r.primary_dataset in ids, "invalid_format", "tile's pack or dataset", **where)
-            p = packs[r.pack_id]
-            require(PACK_HEADER.size <= r.payload_offset <= p.file_bytes and r.stored_bytes <= p.file_bytes - r.payload_offset, "invalid_format", "payload range", **where)
-        of_pack = by_pack(rows)
-        for p in self.packs:
-            own = of_pack[p.pack_id]
-            require(len(own) == p.tile_count and own[0].key == p.first_key and own[-1].key == p.last_key, "invalid_format", f"tiles of pack {p.pack_id}", path=self.path)
-            apart([(r.payload_offset, r.payload_offset + r.stored_bytes) for r in own], "payloads", path=self.path)
-        return rows
+    def _tiles(self, data: bytes) -> np.ndarray:
+        """The entries as an array, each checked; of_pack holds the places of each pack's own, in its order."""
+        require(len(data) == self.header.tile_count * TILE.size, "invalid_format", "tiles: bytes and count disagree", path=self.path)
+        t = np.frombuffer(data, ENTRY)
+        key = t["key"]
+        require(bool((key[:-1] < key[1:]).all()), "invalid_format", "tile keys are not strictly increasing", path=self.path)
+        face, level, m = key_parts(key)
+        pack_ids = np.array([p.pack_id for p in self.packs], np.uint32)
+        pack, there = found(t["pack_id"], pack_ids)
+        size = np.array([p.file_bytes for p in self.packs] or [0], np.uint64)[pack]
+        start, stored = t["payload_offset"], t["stored_bytes"].astype(np.uint64)
+        inside = (start >= PACK_HEADER.size) & (start <= size)
+        bad = [
+            ("invalid_tile_key", "tile key", (face > 5) | (level > keys.MAX_LEVEL) | (m >> 2 * level != 0)),
+            ("unsupported_feature", "tile flags", (t["flags"] & ~np.uint32(3) != 0) | (t["child_mask"] & 0xF0 != 0)),
+            ("invalid_format", "tile record", (t["reserved"] != 0) | (t["min_code"] > t["max_code"]) | (start % 8 != 0)),
+            ("invalid_format", "tile level", level > self.header.max_level),
+            ("invalid_format", "tile's pack or dataset", ~there | ~found(t["primary_dataset"], np.array([d["id"] for d in self.datasets], np.uint32))[1]),
+            ("invalid_format", "payload range", ~inside | (stored > np.where(inside, size - start, 0))),
+        ]
+        any_bad = np.logical_or.reduce([b for _, _, b in bad])
+        if any_bad.any():
+            first = int(any_bad.argmax())
+            code, message = next((c, w) for c, w, b in bad if b[first])
+            raise Error(code, message, path=self.path, tile_key=f"{int(key[first]):016x}")
+        order = np.argsort(t["pack_id"], kind="stable")
+        held = t["pack_id"][order]
+        self.of_pack = [order[a:b] for a, b in zip(np.searchsorted(held, pack_ids), np.searchsorted(held, pack_ids, "right"), strict=True)]
+        for p, places in zip(self.packs, self.of_pack, strict=True):
+            own = t[places]
+            require(len(own) == p.tile_count and int(own["key"][0]) == p.first_key and int(own["key"][-1]) == p.last_key, "invalid_format", f"tiles of pack {p.pack_id}", path=self.path)
+            own = own[np.lexsort((own["stored_bytes"], own["payload_offset"]))]
+            require(bool((own["payload_offset"][1:] >= (own["payload_offset"] + own["stored_bytes"])[:-1]).all()), "invalid_format", "payloads overlap", path=self.path)
+        return t
+
+    def below(self, face: int, level: int, morton: int, first: int, last: int) -> np.ndarray:
+        """Entries of the levels first to last at or below a key, a slice of the index for each; none for what is no key."""
+        if not (0 <= face <= 5 and 0 <= level <= keys.MAX_LEVEL and 0 <= morton < 1 << 2 * level):
+            return self.tiles[:0]
+        key, out = self.tiles["key"], []
+        for deep in range(max(first, level), min(last, keys.MAX_LEVEL) + 1):
+            lo = face << 61 | deep << 56 | morton << 2 * (deep - level)
+            a, b = np.searchsorted(key, np.array([lo, lo + (1 << 2 * (deep - level))], np.uint64))
+            out.append(self.tiles[a:b])
+        return np.concatenate(out) if out else self.tiles[:0]
 
 
 def inflate(data: bytes, size: int, **where) -> bytes:
@@ -307,7 +346,10 @@ def check_pack(data: bytes, pack, entries: list, path: str = "") -> None:
     require(h.major == 1, "unsupported_version", "pack version", path=path)
     require(h.flags == 0, "unsupported_feature", "pack flags", path=path)
     require((h.pack_id, h.tile_count, h.region, h.file_bytes) == (pack.pack_id, pack.tile_count, PACK_HEADER.size, pack.file_bytes) and len(data) == pack.file_bytes, "invalid_format", "pack header and registry disagree", path=path)
-    digest = hashlib.sha256(data[:48] + bytes(16) + data[64:]).digest()
+    digest = hashlib.sha256(data[:48])
+    digest.update(bytes(16))
+    digest.update(data[64:])
+    digest = digest.digest()
     require(digest == pack.sha256 and digest[:16] == h.sha256_prefix, "hash_mismatch", "pack", path=path)
     end = PACK_HEADER.size
     for e in entries:
@@ -322,10 +364,11 @@ class Database:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        found = spark.read.format("binaryFile").load(path).select("content").take(1)
-        require(bool(found), "io_error", "cannot read", path=path)
-        self.manifest = Manifest(bytes(found[0][0]), path)
+        file = spark.read.format("binaryFile").load(path).select("content", "path").take(1)
+        require(bool(file), "io_error", "cannot read", path=path)
+        self.manifest = Manifest(bytes(file[0][0]), path)
         self.header = self.manifest.header
+        self.folder = file[0][1].rsplit("/", 1)[0]
 
     def table(self, name: str) -> DataFrame:
         """chunks, strings, datasets, packs or tiles."""
@@ -336,65 +379,103 @@ class Database:
             "strings": lambda: list(m.strings.items()),
             "datasets": lambda: [(d["id"], d["flags"], *d["strings"], *d["doubles"], d["bundle_bytes"], d["bundle_hash"], d["meta"].decode(), d["quality"]) for d in m.datasets],
             "packs": lambda: [(p.pack_id, m.strings[p.path_id], p.codec, p.tile_count, p.file_bytes, hexed(p.first_key), hexed(p.last_key), p.sha256) for p in m.packs],
-            "tiles": lambda: [(*key_parts(t.key), hexed(t.key), *t[1:13], *t[14:]) for t in m.tiles],
-        }[name]()
-        return self.spark.createDataFrame(rows, SCHEMAS[name])
+        }
+        return self._index(m.tiles) if name == "tiles" else self.spark.createDataFrame(rows[name](), SCHEMAS[name])
+
+    def _index(self, tiles: np.ndarray) -> DataFrame:
+        """Entries as rows, handed over as Arrow columns."""
+        columns = dict(zip(("face", "level", "morton"), key_parts(tiles["key"]), strict=True)) | {"key_hex": tiles["key"]}
+        columns |= {n: tiles[n] for n in ENTRY.names if n not in ("key", "reserved")}
+        arrow = {}
+        for n, x in columns.items():
+            if x.dtype.kind == "V":
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(x.dtype.itemsize), len(x), [None, pa.py_buffer(x.tobytes())])
+                arrow[n] = fixed.cast(pa.binary())
+            else:
+                arrow[n] = pa.array(x.astype(np.int64))
+        types = dict(c.split() for c in SCHEMAS["tiles"].split(", "))
+        hexed = F.lpad(F.lower(F.hex("key_hex")), 16, "0")
+        made = [(hexed if n == "key_hex" else F.col(n).cast(kind)).alias(n) for n, kind in types.items()]
+        return self.spark.createDataFrame(pa.table(arrow)).select(*made)
+
+    def tile(self, face: int, level: int, morton: int) -> DataFrame:
+        """The row of one key; none if the tile is not there."""
+        return self._index(self.manifest.below(face, level, morton, level, level))
 
     def find(self, face: int, level: int, morton: int) -> Row | None:
-        return index.find(self.table("tiles"), face, level, morton).first()
+        return self.tile(face, level, morton).first()
 
     def channels(self, tiles: DataFrame | None = None) -> DataFrame:
         """Decoded channels of tiles (key_hex), or of all: a row for each, or one with error where a check failed.
 
-        Every pack that holds one is read and checked once.
+        Every pack that holds one is read and checked once. What is no key of a tile, nulls included, is passed over.
         """
-        wanted = None if tiles is None else {r[0] for r in tiles.select("key_hex").distinct().collect()}
         m = self.manifest
-        of_pack = by_pack(m.tiles)
-        base = self.path.rsplit("/", 1)[0] if "/" in self.path else "."
-        jobs = {}
-        for p in m.packs:
-            entries = of_pack[p.pack_id]
-            keep = [e for e in entries if wanted is None or f"{e.key:016x}" in wanted]
-            if keep:
-                jobs[m.strings[p.path_id]] = (tuple(p), [tuple(e) for e in entries], {e.key for e in keep})
-        if not jobs:
+        keep = np.ones(len(m.tiles), bool)
+        if tiles is not None:
+            wanted = tiles.select("key_hex").filter(F.col("key_hex").rlike("^[0-9a-f]{16}$")).distinct().collect()
+            keep = np.isin(m.tiles["key"], np.array([int(r[0], 16) for r in wanted], np.uint64))
+        scans, size = [], SCAN_BYTES
+        for p, own in zip(m.packs, m.of_pack, strict=True):
+            if keep[own].any():
+                size += len(own) * TILE.size
+                if size > SCAN_BYTES:
+                    scans.append({})
+                    size = len(own) * TILE.size
+                scans[-1][m.strings[p.path_id]] = (tuple(p), m.tiles[own].tobytes(), keep[own].tobytes())
+        if not scans:
             return self.spark.createDataFrame([], CHANNELS)
-        files = self.spark.read.format("binaryFile").load([f"{base}/{f}" for f in jobs]).select("path", "content")
+        return reduce(DataFrame.unionByName, [self._decoded(packs) for packs in scans])
+
+    def _decoded(self, packs: dict[str, tuple]) -> DataFrame:
+        """Channels of packs by path, each as its record, its entries and a mark for each of them that is wanted."""
+        folder = self.folder
+        files = self.spark.read.format("binaryFile").load([f"{folder}/{f}" for f in packs]).select("path", "content")
+        schema = pa.schema([("key_hex", pa.string()), *[(n, pa.int32()) for n in ("channel_id", "element", "codec", "predictor", "width", "height")], ("flags", pa.int64()), ("parameter1", pa.int64()), ("data", pa.binary()), ("error", pa.string())])
+
+        def rows(path: str, content: memoryview) -> Iterator[tuple]:
+            pack, own, keep = packs[path[len(folder) + 1 :]]
+            own = entries(own)
+            try:
+                check_pack(content, PACK.type(*pack), own, path)
+                failed = None
+            except Error as e:
+                failed = str(e)
+            for e, wanted in zip(own, keep, strict=True):
+                if not wanted:
+                    continue
+                name = f"{e.key:016x}"
+                try:
+                    if failed:
+                        raise ValueError(failed)
+                    _, channels = decode_tile(bytes(content[e.payload_offset : e.payload_offset + e.stored_bytes]), e, path)
+                    yield from [(name, c.channel_id, c.element, c.codec, c.predictor, c.width, c.height, c.flags, c.parameter1, d, None) for c, d in channels]
+                except (Error, ValueError) as x:
+                    yield (name, *[None] * 9, str(x))
+
+        def batch_of(held: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], f.type) for i, f in enumerate(schema)], schema=schema)
 
         def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
             for batch in batches:
-                rows = []
-                for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    pack, entries, keep = next(v for k, v in jobs.items() if path.endswith("/" + k))
-                    entries = [TILE.type(*e) for e in entries]
-                    try:
-                        check_pack(content, PACK.type(*pack), entries, path)
-                        failed = None
-                    except Error as e:
-                        failed = str(e)
-                    for e in entries:
-                        if e.key not in keep:
-                            continue
-                        name = f"{e.key:016x}"
-                        try:
-                            if failed:
-                                raise ValueError(failed)
-                            _, channels = decode_tile(content[e.payload_offset : e.payload_offset + e.stored_bytes], e, path)
-                            rows += [(name, c.channel_id, c.element, c.codec, c.predictor, c.width, c.height, c.flags, c.parameter1, d, None) for c, d in channels]
-                        except (Error, ValueError) as x:
-                            rows.append((name, *[None] * 9, str(x)))
-                schema = pa.schema([("key_hex", pa.string()), *[(n, pa.int32()) for n in ("channel_id", "element", "codec", "predictor", "width", "height")], ("flags", pa.int64()), ("parameter1", pa.int64()), ("data", pa.binary()), ("error", pa.string())])
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+                for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    for row in rows(path, memoryview(content.as_buffer())):
+                        held.append(row)
+                        size += len(row[9] or b"")
+                        if size > BATCH_BYTES:
+                            yield batch_of(held)
+                            held, size = [], 0
+            if held:
+                yield batch_of(held)
 
         return files.mapInArrow(decode, CHANNELS)
 
     def read_tile(self, face: int, level: int, morton: int) -> dict[int, bytes]:
         """Decoded channels of one tile by id; not_found without it, and the first failed check raises."""
-        found = index.find(self.table("tiles"), face, level, morton)
-        if found.first() is None:
+        if not len(self.manifest.below(face, level, morton, level, level)):
             raise Error("not_found", f"no tile {face}/{level}/{morton}", path=self.path)
-        rows = self.channels(found).collect()
+        rows = self.channels(self.tile(face, level, morton)).collect()
         for r in rows:
             if r["error"]:
                 code, _, message = r["error"].partition(": ")
@@ -435,11 +516,10 @@ class Database:
         return elev.mapInArrow(spread, "face int, level int, morton long, y int, x int, code int")
 
     def subtree(self, face: int, level: int, morton: int) -> DataFrame:
-        return index.subtree(self.table("tiles"), face, level, morton).orderBy("face", "level", "morton")
+        return self._index(self.manifest.below(face, level, morton, level, keys.MAX_LEVEL)).orderBy("face", "level", "morton")
 
     def children(self, face: int, level: int, morton: int) -> DataFrame:
-        below = self.table("tiles")
-        return below.filter((F.col("face") == face) & (F.col("level") == level + 1) & F.col("morton").between(4 * morton, 4 * morton + 3)).orderBy("morton")
+        return self._index(self.manifest.below(face, level, morton, level + 1, level + 1)).orderBy("morton")
 
     def leaves(self, face: int, level: int, morton: int, computed: bool = False) -> DataFrame:
         """Leaves of a subtree by the stored child masks, trusted as they are, or by the tiles themselves."""

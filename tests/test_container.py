@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 
 from facetlake import cli
+from types import SimpleNamespace
+
 from facetlake.sources import builder, config, container
-from facetlake.sources.layout import ELEV, HEADER, Error
+from facetlake.sources.layout import ELEV, HEADER, PACK, PACK_HEADER, TILE, Error
 
 TOML = """
 [database]
@@ -135,3 +137,70 @@ def test_cli(built, capsys):
 
 def test_header_size():
     assert HEADER.size == 256
+
+
+def indexed(rows, packs):
+    """A manifest of a tile index and packs (id, file bytes, rows' places) alone."""
+    m = container.Manifest.__new__(container.Manifest)
+    m.path, m.header, m.datasets = "m", SimpleNamespace(tile_count=len(rows), max_level=9), [{"id": 5}, {"id": 9}]
+    m.packs = [PACK.type(i, 0, 0, 0, 0, len(own), size, rows[own[0]].key, rows[own[-1]].key, b"") for i, size, own in packs]
+    m.tiles = m._tiles(b"".join(TILE.write(*r) for r in rows))
+    return m
+
+
+def grid(n=2000):
+    """Tiles of face 2 down to level 6, dealt over three packs in turns, with payloads of 16 bytes."""
+    keys = sorted({2 << 61 | level << 56 | x % 4**level for level in range(7) for x in range(0, n, 3)})
+    rows = [TILE.type(k, 10 + i % 3, 1, PACK_HEADER.size + 16 * (i // 3), 16, 32, 1, 2, 5, 100, 0, 0, 2, 0, 7, b"c" * 16, b"d" * 8) for i, k in enumerate(keys)]
+    return rows, [(10 + p, PACK_HEADER.size + 16 * len(rows), list(range(p, len(rows), 3))) for p in range(3)]
+
+
+def test_index_of_many_tiles():
+    rows, packs = grid()
+    m = indexed(rows, packs)
+    assert container.entries(m.tiles.tobytes()) == rows
+    assert [[rows[i] for i in own] for own in m.of_pack] == [[r for r in rows if r.pack_id == p] for p, _, _ in packs]
+    for face, level, code in ((2, 0, 0), (2, 2, 3), (2, 6, 600), (2, 3, 64), (1, 0, 0), (6, 0, 0), (2, 29, 0), (2, -1, 0)):
+        want = [r.key for r in rows if (k := container.key_parts(r.key))[0] == face and 0 <= level <= k[1] and k[2] >> 2 * (k[1] - level) == code]
+        assert m.below(face, level, code, level, 28)["key"].tolist() == want
+        assert m.below(face, level, code, level, level)["key"].tolist() == [k for k in want if container.key_parts(k)[1] == level]
+    assert len(indexed([], []).tiles) == 0
+
+
+@pytest.mark.parametrize(
+    "at,change,code,message",
+    [
+        (7, {"key": 7 << 61}, "invalid_format", "increasing"),
+        (-1, {"key": 6 << 61}, "invalid_tile_key", "key"),
+        (-1, {"key": 2 << 61 | 6 << 56 | 4**6}, "invalid_tile_key", "key"),
+        (-1, {"key": 2 << 61 | 10 << 56}, "invalid_format", "level"),
+        (40, {"flags": 4}, "unsupported_feature", "flags"),
+        (40, {"child_mask": 16}, "unsupported_feature", "flags"),
+        (40, {"min_code": 3}, "invalid_format", "record"),
+        (40, {"payload_offset": 68}, "invalid_format", "record"),
+        (40, {"pack_id": 13}, "invalid_format", "pack or dataset"),
+        (40, {"primary_dataset": 6}, "invalid_format", "pack or dataset"),
+        (40, {"payload_offset": 0}, "invalid_format", "range"),
+        (40, {"payload_offset": 2**63}, "invalid_format", "range"),
+        (40, {"stored_bytes": 2**32 - 1}, "invalid_format", "range"),
+        (40, {"pack_id": 12}, "invalid_format", "tiles of pack"),
+        (40, {"stored_bytes": 24}, "invalid_format", "overlap"),
+    ],
+)
+def test_damaged_index(at, change, code, message):
+    rows, packs = grid()
+    rows[at] = rows[at]._replace(**change)
+    with pytest.raises(Error, match=message) as e:
+        indexed(rows, packs)
+    assert e.value.code == code
+
+
+def test_packs_dealt_over_scans(spark, built, monkeypatch):
+    db = container.Database(spark, built[0]["manifest"])
+    read = lambda *k: sorted(map(str, db.channels(*k).collect()))
+    whole, some = read(), spark.createDataFrame([("4000000000000000",), ("4000000000000000",), ("x",), (None,)], "key_hex string")
+    one = read(some)
+    assert len(whole) == 12 and len(one) == 2 and set(one) < set(whole)
+    monkeypatch.setattr(container, "SCAN_BYTES", 160)
+    monkeypatch.setattr(container, "BATCH_BYTES", 1)
+    assert read() == whole and read(some) == one and read(some.limit(0)) == []
