@@ -37,7 +37,18 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-_SLOT = (mix(np.arange(128 * 128 * 128, dtype=np.uint64) + randoms(51, 1)[0]) % np.uint64(TRIGRAMS)).astype(np.int16)
+
+
+def _slots() -> np.ndarray:
+    """Term of each trigram of classes; made in small parts, as every Python worker holds what that takes."""
+    out = np.empty((128, 128 * 128), np.int16)
+    trigrams = np.arange(128 * 128, dtype=np.uint64) + randoms(51, 1)[0]
+    for c in range(128):
+        out[c] = mix(trigrams + np.uint64(c << 14)) % np.uint64(TRIGRAMS)
+    return out.ravel()
+
+
+_SLOT = _slots()
 
 
 def term_counts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -54,13 +54,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     for base in (_BASE, _INVERSE):
         p = np.full(n, base, np.uint64)
         p[0] = 1
-        out.append(np.cumprod(p))
+        out.append(np.cumprod(p, out=p))
     return out[0], out[1]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, n or more."""
-    size = 2 * STEP
+    size = STEP // 2
     while size < n:
         size *= 2
     return _powers(size)
