@@ -14,9 +14,14 @@ def not_increasing(rows: DataFrame, order: str, value: str, *by: str) -> DataFra
     return rows.withColumn("prev", F.lag(value).over(w)).filter(F.col(value) <= F.col("prev"))
 
 
-def overlapping(rows: DataFrame, start: str, end: str, *by: str) -> DataFrame:
-    """Rows that start before an earlier interval of their list ends, with that end as reach."""
-    w = Window.partitionBy(*by).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
+def overlapping(rows: DataFrame, start: str, end: str, *by: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that start before an earlier interval of their list ends, with that end as reach.
+
+    Nulls come last, as in SQL. Of equal intervals the first in the order of `ties` counts as the earlier one;
+    where `ties` does not tell them apart, which of them that is stays open.
+    """
+    order = [F.asc_nulls_last(c) for c in (start, end, *ties)]
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("reach", F.max(end).over(w)).filter(F.col(start) < F.col("reach"))
 
 

@@ -53,7 +53,8 @@ def _spans(spark, sf_dir) -> DataFrame:
 
 @query(f"with {SPANS} select * from (select *, max(b) over (partition by o_custkey order by a, b rows between unbounded preceding and 1 preceding) reach from spans) where a < reach")
 def overlap_violations(spark, sf_dir) -> DataFrame:
-    return registry.overlapping(_spans(spark, sf_dir), "a", "b", "o_custkey").select("o_custkey", "o_orderkey", "a", "b", "reach")
+    """Of a customer's equal spans, which the SQL leaves in any order, the one with the smallest o_orderkey is the earlier."""
+    return registry.overlapping(_spans(spark, sf_dir), "a", "b", "o_custkey", ties=("o_orderkey",)).select("o_custkey", "o_orderkey", "a", "b", "reach")
 
 
 @query(f"with {SPANS} select o_custkey, sum(gap)::bigint gap_bytes, count(*) gaps from (select *, a - lag(b) over (partition by o_custkey order by a, b) gap from spans) where gap > 0 group by o_custkey")
